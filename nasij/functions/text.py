@@ -31,6 +31,12 @@ def _gsub(c: Column, pattern: str, to: str = "") -> Column:
     return F.regexp_replace(c, pattern, to)
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once for each row, even where
+    the body uses it inside a lambda (which would compute it for each element)."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def strip(c: Column) -> Column:
     return _gsub(c, r"(?U)^\s+|\s+$")
 
@@ -119,8 +125,8 @@ def repair_marks(c: Column, rounds: int = 4) -> Column:
 
 def residue_tokens(c: Column, keep: list[str], around: int = 3, limit: int = 120) -> Column:
     """array<struct<pos, token, context>> of tokens of at most two letters."""
-    w = words(c)
-    short = F.transform(w, lambda t, i: F.struct(i.alias("pos"), t.alias("token"), F.substring(F.array_join(F.slice(w, F.greatest(i - around + 1, F.lit(1)), F.lit(2 * around + 1)), " "), 1, limit).alias("context")))
+    found = lambda w: F.transform(w, lambda t, i: F.struct(i.alias("pos"), t.alias("token"), F.substring(F.array_join(F.slice(w, F.greatest(i - around + 1, F.lit(1)), F.lit(2 * around + 1)), " "), 1, limit).alias("context")))
+    short = let(words(c), found)
     return F.filter(short, lambda x: (F.regexp_count(x["token"], F.lit(f"[{LETTERS}]")) <= 2) & x["token"].rlike(f"[{LETTERS}]") & ~x["token"].isin(keep))
 
 
@@ -212,7 +218,9 @@ def repair_encoding(c: Column) -> Column:
 
 def entropy(c: Column) -> Column:
     """Shannon entropy of the characters in bits; 0 for an empty text."""
-    chars = F.filter(F.split(c, ""), lambda x: x != "")
-    n = F.size(chars)
-    share = F.transform(F.array_distinct(chars), lambda x: F.size(F.filter(chars, lambda y: y == x)) / n)
-    return F.aggregate(share, F.lit(0.0), lambda a, p: a - p * F.log2(p))
+
+    def bits(chars: Column) -> Column:
+        share = F.transform(F.array_distinct(chars), lambda x: F.size(F.filter(chars, lambda y: y == x)) / F.size(chars))
+        return F.aggregate(share, F.lit(0.0), lambda a, p: a - p * F.log2(p))
+
+    return let(F.filter(F.split(c, ""), lambda x: x != ""), bits)

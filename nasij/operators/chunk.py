@@ -179,11 +179,18 @@ def classify(units: Column, form: Column) -> Column:
 def chunks(df: DataFrame, key: str, units: Column, form: Column, unit_kind: Column, limit: int = TARGET_MAX, least: int = TARGET_MIN, boundary: str | None = None) -> DataFrame:
     """One row for each chunk: id, place, tokens, text, format and flags."""
     base = df.withColumn("_u", units).withColumn("_n", chunk_numbers(F.col("_u"), limit, boundary)).withColumn("_form", form).withColumn("_kind", unit_kind)
-    last = F.array_max("_n")
-    part = lambda i: F.struct(
-        i.alias("chunk_no"), F.filter(F.col("_u"), lambda u, j: F.element_at(F.col("_n"), j + 1) == i).alias("units"), (F.array_position("_n", i) - 1).cast("int").alias("unit_start")
-    )
-    rows = base.where(F.size("_u") > 0).withColumn("_c", F.explode(F.transform(F.sequence(F.lit(0), last), part))).select(*df.columns, "_form", "_kind", "_c.*")
+    # units of a chunk stand together: begin of each chunk, then slices
+    def parts(x: Column) -> Column:
+        u, n = x["u"], x["n"]
+        begin = F.filter(F.sequence(F.lit(1), F.size(n)), lambda i: (i == 1) | (F.element_at(n, i) != F.element_at(n, F.greatest(i - 1, F.lit(1)))))
+
+        def cut(b: Column) -> Column:
+            end = lambda k: F.coalesce(F.get(b, k + 1), F.size(u) + 1)
+            return F.transform(b, lambda at, k: F.struct(k.alias("chunk_no"), F.slice(u, at, end(k) - at).alias("units"), (at - 1).alias("unit_start")))
+
+        return T.let(begin, cut)
+
+    rows = base.where(F.size("_u") > 0).withColumn("_c", F.explode(T.let(F.struct(F.col("_u").alias("u"), F.col("_n").alias("n")), parts))).select(*df.columns, "_form", "_kind", "_c.*")
     tokens = F.aggregate("units", F.lit(0).cast("long"), lambda a, u: a + T.token_count(u))
     flag = F.when(F.col("token_count") > limit, F.concat(F.lit("oversize_"), F.col("_kind"))).when(F.col("token_count") < least, "below_target_min")
     return (

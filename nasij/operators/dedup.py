@@ -20,10 +20,13 @@ def fingerprint(c: Column) -> Column:
 def shingles(c: Column, size: int) -> Column:
     """Distinct word shingles as 64-bit numbers; a shorter text is one shingle,
     an empty one has none."""
-    w = T.words(c)
-    n = F.size(w)
-    runs = F.transform(F.sequence(F.lit(1), F.greatest(n - size + 1, F.lit(1))), lambda i: F.xxhash64(F.array_join(F.slice(w, i, F.lit(size)), " ")))
-    return F.when(n > 0, F.array_distinct(runs)).otherwise(F.array().cast("array<bigint>"))
+
+    def runs(w: Column) -> Column:
+        at = F.sequence(F.lit(1), F.greatest(F.size(w) - size + 1, F.lit(1)))
+        found = F.transform(at, lambda i: F.xxhash64(F.array_join(F.slice(w, i, F.lit(size)), " ")))
+        return F.when(F.size(w) > 0, F.array_distinct(found)).otherwise(F.array().cast("array<bigint>"))
+
+    return T.let(T.words(c), runs)
 
 
 def exact_groups(df: DataFrame, key: str, text: str) -> DataFrame:
@@ -82,9 +85,13 @@ def field_duplicates(df: DataFrame, key: str, fields: list[str], size: int = 3,
 
 def jaccard(a: Column, b: Column, size: int = 3) -> Column:
     """Similarity of two texts' shingle sets; 0 if either is empty."""
-    x, y = shingles(a, size), shingles(b, size)
-    both = F.size(F.array_intersect(x, y))
-    return F.when((F.size(x) > 0) & (F.size(y) > 0), both / (F.size(x) + F.size(y) - both)).otherwise(0.0)
+
+    def of(s: Column) -> Column:
+        x, y = s["x"], s["y"]
+        both = F.size(F.array_intersect(x, y))
+        return F.when((F.size(x) > 0) & (F.size(y) > 0), both / (F.size(x) + F.size(y) - both)).otherwise(0.0)
+
+    return T.let(F.struct(shingles(a, size).alias("x"), shingles(b, size).alias("y")), of)
 
 
 def pair_collapse(df: DataFrame, a: str, b: str, threshold: float = 0.8, size: int = 3) -> DataFrame:

@@ -15,8 +15,8 @@ DIMENSIONS, GRAM = 512, 4
 
 
 def grams(c: Column, n: int = GRAM) -> Column:
-    s = T.canonical(F.coalesce(c, F.lit("")))
-    return F.transform(F.sequence(F.lit(1), F.greatest(F.length(s) - n + 1, F.lit(1))), lambda i: F.substring(s, i, F.lit(n)))
+    cut = lambda s: F.transform(F.sequence(F.lit(1), F.greatest(F.length(s) - n + 1, F.lit(1))), lambda i: F.substring(s, i, F.lit(n)))
+    return T.let(T.canonical(F.coalesce(c, F.lit(""))), cut)
 
 
 def hashed(df: DataFrame, key: str, text: str, dims: int = DIMENSIONS) -> DataFrame:

@@ -77,8 +77,8 @@ def sole_title(df: DataFrame, title: str, otherwise: str = "Corpus") -> DataFram
 
 
 def ngrams(c: Column, n: int) -> Column:
-    w = T.words(c)
-    return F.when(F.size(w) >= n, F.transform(F.sequence(F.lit(1), F.size(w) - n + 1), lambda i: F.array_join(F.slice(w, i, F.lit(n)), " "))).otherwise(F.array().cast("array<string>"))
+    at = lambda w: F.transform(F.sequence(F.lit(1), F.size(w) - n + 1), lambda i: F.array_join(F.slice(w, i, F.lit(n)), " "))
+    return T.let(T.words(c), lambda w: F.when(F.size(w) >= n, at(w)).otherwise(F.array().cast("array<string>")))
 
 
 def distinct_n(df: DataFrame, text: str, upto: int = 4) -> DataFrame:

@@ -194,7 +194,7 @@ fold(doc_id, i, chunk, held) AS (
   SELECT f.doc_id, f.i + 1, CASE WHEN ns[f.i + 1] > 200 OR f.held + ns[f.i + 1] > 200 THEN f.chunk + 1 ELSE f.chunk END,
     CASE WHEN ns[f.i + 1] > 200 THEN 201 WHEN f.held + ns[f.i + 1] > 200 THEN ns[f.i + 1] ELSE f.held + ns[f.i + 1] END
   FROM fold f JOIN t USING (doc_id) WHERE f.i < len(ns)),
-c AS (SELECT f.doc_id, chunk, count(*) AS units, sum(ns[i]) AS tokens, min(i) - 1 AS unit_start, string_agg(us[i], chr(10) || chr(10) ORDER BY i) AS body FROM fold f JOIN t USING (doc_id) WHERE i > 0 GROUP BY 1, 2)
+c AS (SELECT f.doc_id, chunk, count(*) AS units, sum(ns[i])::BIGINT AS tokens, (min(i) - 1)::BIGINT AS unit_start, string_agg(us[i], chr(10) || chr(10) ORDER BY i) AS body FROM fold f JOIN t USING (doc_id) WHERE i > 0 GROUP BY 1, 2)
 """
 
 
