@@ -85,5 +85,5 @@ def plan_pairs(samples: DataFrame, target: int, kinds: list[str]) -> DataFrame:
 
     n = F.count(F.lit(1)).over(Window.partitionBy())
     each = F.least(F.ceil(F.lit(target) / n).cast("int"), F.lit(len(kinds)))
-    rows = samples.select("sample_id", F.posexplode(F.slice(F.array(*map(F.lit, kinds)), F.lit(1), each)).alias("kind_no", "rejection_type"))
+    rows = samples.select("sample_id", each.alias("_each")).select("sample_id", F.posexplode(F.slice(F.array(*map(F.lit, kinds)), F.lit(1), F.col("_each"))).alias("kind_no", "rejection_type"))
     return rows.withColumn("place", F.row_number().over(Window.orderBy("sample_id", "kind_no"))).where(F.col("place") <= target).withColumn("pair_id", F.format_string("%s_dpo_%02d", "sample_id", F.col("kind_no") + 1))

@@ -594,7 +594,7 @@ def judge_keys(spark, d):
     """WITH k AS (SELECT column0 AS kind FROM (VALUES ('poor_instruction_following'), ('wrong_formatting'), ('missing_information'), ('unsupported_additions'), ('wrong_register'), ('verbosity'), ('weak_organization'), ('partial_factual_errors'), ('less_faithful_reconstruction')) v(column0)),
 w AS (SELECT * FROM (VALUES ('tie'), ('chosen_better_verdict'), ('chosen_better_similarity'), ('rejected_better_verdict')) v(way)), a AS (SELECT * FROM (VALUES (true), (false), (NULL)) v(agrees)), l AS (SELECT * FROM (VALUES ('consistent'), ('inconsistent'), ('not_applicable')) v(len)),
 x AS (SELECT *, CASE WHEN kind IN ('wrong_register', 'weak_organization') THEN 'none' WHEN kind = 'poor_instruction_following' THEN 'incidental' WHEN kind IN ('missing_information', 'unsupported_additions') THEN 'partial' ELSE 'strong' END AS det, kind = 'wrong_formatting' AS win FROM k, w, a, l)
-SELECT kind, way, agrees, len, CASE WHEN way LIKE 'rejected%' THEN 'FLAG_SUSPICIOUS'
+SELECT kind, way, agrees::VARCHAR AS agrees, len, CASE WHEN way LIKE 'rejected%' THEN 'FLAG_SUSPICIOUS'
  WHEN way = 'tie' THEN CASE WHEN win AND coalesce(agrees, false) AND det = 'strong' THEN 'AUTO_CONFIRM' WHEN coalesce(agrees, false) OR len = 'consistent' OR det IN ('none', 'incidental') THEN 'NEEDS_JUDGE' ELSE 'FLAG_SUSPICIOUS' END
  WHEN way = 'chosen_better_similarity' THEN CASE WHEN win AND coalesce(agrees, false) AND det = 'strong' THEN 'AUTO_CONFIRM' ELSE 'NEEDS_JUDGE' END
  WHEN det IN ('none', 'incidental') OR NOT coalesce(agrees, false) OR len = 'inconsistent' THEN 'NEEDS_JUDGE' ELSE 'AUTO_CONFIRM' END AS triage FROM x"""
@@ -605,7 +605,7 @@ def dpo_triage_table(spark, d):
     rows = spark.range(1).select(one("kind", decisions.DETECTABLE)).select("kind", one("way", ["tie", "chosen_better_verdict", "chosen_better_similarity", "rejected_better_verdict"]))
     rows = rows.select("*", one("agrees", [True, False, None])).select("*", one("len", ["consistent", "inconsistent", "not_applicable"]))
     t = decisions.triage(F.col("way"), F.col("agrees"), F.col("len"), decisions.lookup(decisions.DETECTABLE, F.col("kind")), F.col("kind") == "wrong_formatting", F.lit(False))
-    return rows.withColumn("triage", t)
+    return rows.withColumn("triage", t).withColumn("agrees", F.col("agrees").cast("string"))
 
 
 @query(
@@ -627,7 +627,8 @@ SELECT user_id, island::BIGINT AS island, count(*) AS n, min(event_id) AS first_
 def islands(spark, d):
     """The running group number that entries are built with."""
     w = Window.partitionBy("user_id").orderBy("ts", "event_id")
-    gap = F.col("ts").cast("double") - F.lag("ts").over(w).cast("double")
+    seconds = F.col("ts").cast("timestamp").cast("double")
+    gap = seconds - F.lag(seconds).over(w)
     e = _t(spark, d, "events").withColumn("h", F.when(gap.isNull() | (gap > 3600), 1).otherwise(0))
     return e.withColumn("island", F.sum("h").over(w.rowsBetween(Window.unboundedPreceding, 0))).groupBy("user_id", "island").agg(F.count(F.lit(1)).alias("n"), F.min("event_id").alias("first_event"))
 
