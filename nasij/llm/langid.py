@@ -18,6 +18,7 @@ that comes first. Repeated rows are judged alike. Extra columns are ignored.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -107,12 +108,12 @@ def fit(docs: DataFrame, per_lang: int = PER_LANG) -> Centroids:
     best = near.withColumn("r", F.row_number().over(Window.partitionBy("lang", F.pmod("h", F.lit(16))).orderBy("h", "doc_id"))).where(F.col("r") <= -(-per_lang // 16))
     make = F.pandas_udf(_sample, "array<binary>")
     got = rows.join(F.broadcast(best.select("doc_id", "lang").distinct()), ["doc_id", "lang"]).dropDuplicates(["doc_id"]).select("doc_id", "lang", make("text").alias("c")).collect()
-    got = sorted((r["lang"], r["doc_id"], r["c"]) for r in got if r["c"])
+    got = sorted((r["lang"], r["doc_id"], [zlib.decompress(p) for p in r["c"]]) for r in got if r["c"])
     if not got:
         return Centroids((), np.zeros(0, int), np.zeros((0, DIMS)), np.zeros(DIMS), np.zeros(32))
-    full = np.stack([np.frombuffer(c[0], np.uint16) for _, _, c in got]).astype(float)
-    idf = np.log((1 + len(full)) / (1 + (full > 0).sum(axis=0))) + 1
-    langs, x, rng = tuple(sorted({g[0] for g in got})), weighted(full, idf), np.random.default_rng(SEED)
+    full = np.stack([np.frombuffer(c[0], np.uint16) for _, _, c in got])
+    idf = (np.log((1 + len(full)) / (1 + (full > 0).sum(axis=0))) + 1).astype(np.float32)
+    langs, x, rng = tuple(sorted({g[0] for g in got})), weighted(full.astype(np.float32), idf), np.random.default_rng(SEED)
     owner, vectors = [], []
     for i, lang in enumerate(langs):
         c = _clusters(x[[g[0] == lang for g in got]], CENTROIDS, rng)
@@ -120,10 +121,12 @@ def fit(docs: DataFrame, per_lang: int = PER_LANG) -> Centroids:
         vectors.append(c)
     owner, vectors = np.array(owner), np.concatenate(vectors)
     # cosines of whole texts and of their short beginnings, by length
-    parts = np.stack([np.frombuffer(p, np.uint16) for _, _, c in got for p in c]).astype(float)
-    own = np.array([langs.index(g[0]) for g in got for _ in g[2]])
-    cos = np.where(owner[None, :] == own[:, None], weighted(parts, idf) @ vectors.T, -1).max(axis=1)
-    size, least = _bucket(parts.sum(axis=1)), np.zeros(32)
+    cos, size = [], []
+    for lang, _, c in got:
+        part = np.stack([np.frombuffer(p, np.uint16) for p in c]).astype(np.float32)
+        cos.append((weighted(part, idf) @ vectors[owner == langs.index(lang)].T).max(axis=1))
+        size.append(part.sum(axis=1))
+    cos, size, least = np.concatenate(cos), _bucket(np.concatenate(size)), np.zeros(32)
     for b in range(32):
         near_b = cos[np.abs(size - b) <= 1]
         least[b] = SLACK * np.quantile(near_b, QUANTILE) if len(near_b) >= 20 else (least[b - 1] if b else 0.0)
@@ -138,7 +141,7 @@ def _sample(texts: pd.Series) -> pd.Series:
         if not has_letter(text):
             return []
         cuts = [text, *(text[:n] for n in (8, 16, 32, 64, 128, 256, 512) if n < len(text) and has_letter(text[:n]))]
-        return [np.minimum(counts(t), 65535).astype(np.uint16).tobytes() for t in cuts]
+        return [zlib.compress(np.minimum(counts(t), 65535).astype(np.uint16).tobytes(), 1) for t in cuts]
 
     return texts.map(one)
 
