@@ -78,11 +78,10 @@ def encode(books: Codebooks, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     n = len(x)
     sums = np.zeros((n, 1, books.size), np.float32)
     codes = np.zeros((n, 1, 0), np.uint8)
-    error = np.zeros((n, 1), np.float32)
     for c in books.words:
         left = x[:, None, :] - sums
-        # squared error after each word, less what is common to all
-        cost = error[:, :, None] - 2 * (left @ c.T) + (c * c).sum(axis=1)
+        # squared error after each word; taken anew, as sums of it would drift
+        cost = (left * left).sum(axis=2)[:, :, None] - 2 * (left @ c.T) + (c * c).sum(axis=1)
         cost = cost.reshape(n, -1)
         keep = min(BEAM, cost.shape[1])
         best = np.argpartition(cost, keep - 1, axis=1)[:, :keep]
@@ -90,8 +89,7 @@ def encode(books: Codebooks, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         beam, word = best // WORDS, best % WORDS
         sums = sums[row, beam] + c[word]
         codes = np.concatenate([codes[row, beam], word[:, :, None].astype(np.uint8)], axis=2)
-        error = cost[row, best]
-    top = error.argmin(axis=1)
+    top = ((x[:, None, :] - sums) ** 2).sum(axis=2).argmin(axis=1)
     row = np.arange(n)
     return codes[row, top], np.linalg.norm(sums[row, top], axis=1)
 
