@@ -98,16 +98,19 @@ def _dictionary(samples: list[bytes]) -> bytes:
 def fit(docs: DataFrame, labels: DataFrame, column: str = "quality", per_class: int = PER_CLASS) -> Compression:
     ready(docs.sparkSession)
     counts = label_counts(labels, column)
+    share = counts[1] / (counts[0] + counts[1]) if counts[0] + counts[1] else 0.5
+    share = min(max(share, 0.01), 0.99)
+    unfitted = Compression(b"\0" * 16, b"\0" * 16, (0.0, 0.0), math.log(share / (1 - share)))
     if not counts[0] or not counts[1]:
-        share = counts[1] / (counts[0] + counts[1]) if counts[0] + counts[1] else 0.5
-        share = min(max(share, 0.01), 0.99)
-        return Compression(b"\0" * 16, b"\0" * 16, (0.0, 0.0), math.log(share / (1 - share)))
+        return unfitted
     chosen = label_sample(labels, column, per_class)
     cut = F.pandas_udf(lambda texts: texts.map(lambda t: b"\n".join(pieces(bytes(t)))), "binary")
     # at most 2 * per_class rows of at most 3 pieces come to the driver
     sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]).select("doc_id", "y", cut(text_bytes(F.col("text"))).alias("t")).collect()
     sample.sort(key=lambda r: r["doc_id"])
     texts, y = [bytes(r["t"]) for r in sample], np.array([r["y"] for r in sample])
+    if len(set(y.tolist())) < 2:
+        return unfitted
     # the even ones of each class build the dictionaries, the odd ones the curve
     build = _rank(y) % 2 == 0
     parts = [_dictionary([t for t, v, b in zip(texts, y, build, strict=True) if b and v == c]) for c in (1, 0)]
