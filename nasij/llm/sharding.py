@@ -55,11 +55,11 @@ class SlotMap:
             heapq.heappush(heap, (load + weights[slot], shard))
         return cls(shards, tuple(owner))
 
-    def edited(self, weights: list[int], shards: int | None = None, slack: float = 0.01) -> "SlotMap":
+    def edited(self, weights: list[int], shards: int | None = None, slack: float = 0.005) -> "SlotMap":
         """The next version: as few slots moved as bring each shard near the mean.
 
-        Slots of removed shards go first; then each shard over the mean gives
-        slots to the lightest, until it is within ``slack`` or no slot helps.
+        Slots of removed shards go first; then the heaviest shard gives slots to
+        the lightest, until the two are a slot's weight or ``slack`` apart.
         """
         shards = shards or self.shards
         owner, loads = list(self.owner), [0] * shards
@@ -86,7 +86,7 @@ class SlotMap:
             high, low = max(range(shards), key=lambda s: (loads[s], -s)), min(range(shards), key=lambda s: (loads[s], s))
             gap = loads[high] - loads[low]
             fits = [i for i in by_shard[high] if 0 < weights[i] < gap]
-            if loads[high] <= mean * (1 + slack) and loads[low] >= mean * (1 - slack) or not fits:
+            if gap <= max(2 * slack * mean, max(weights)) or not fits:
                 break
             slot = min(fits, key=lambda i: (abs(gap / 2 - weights[i]), i))
             by_shard[high].remove(slot)
