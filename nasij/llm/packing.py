@@ -30,6 +30,8 @@ from pyspark.sql import functions as F
 from nasij.llm.common import Written, ready
 
 WINDOW, END, UNIT = 2048, 1, 16
+#: Ids of the stream for each window: moving a cut back fills the rest.
+STRIDE = WINDOW - UNIT + 1
 #: Parts by which the tails of one length are numbered.
 SALTS = 64
 #: Second lengths of the triples: this many for each first length.
@@ -173,7 +175,7 @@ class Layout:
 
     #: by length: arrays lo, sequence (-1: stream), offset
     places: dict
-    #: units at which the stream of each length's rest begins
+    #: ids at which the stream of each length's rest begins
     stream: dict
     sequences: int
     streamed: int
@@ -204,14 +206,33 @@ def plan(have: np.ndarray) -> Layout:
         if left[a]:
             places.setdefault(a, []).append((int(used[a]), -1, 0))
             stream[a] = at
-            at += int(left[a]) * -(-a // UNIT)
-    return Layout({a: np.array(v, np.int64) for a, v in places.items()}, stream, sequence, -(-at * UNIT // WINDOW))
+            at += int(left[a]) * a
+    return Layout({a: np.array(v, np.int64) for a, v in places.items()}, stream, sequence, -(-at // STRIDE))
+
+
+def cuts(begin: int, length: int) -> list[tuple[int, int, int]]:
+    """(from, to, window) of the pieces of a tail that begins there in the
+    stream. Each cut is moved back to a multiple of UNIT, so a window holds at
+    most STRIDE + UNIT - 1 ids."""
+    out, at, n = [], 0, begin // STRIDE
+    while at < length:
+        end = min(length, (n + 1) * STRIDE - begin)
+        if end < length:
+            end = end // UNIT * UNIT
+        if end > at:
+            out.append((at, end, n))
+        at, n = max(at, end), n + 1
+    return out
+
+
+def _between(marks: np.ndarray, whole: int, length: int, a: int, b: int) -> int:
+    """Checksum of the ids from a to b of a tail."""
+    upto = whole if b == length else int(marks[b // UNIT - 1])
+    return upto if a == 0 else rest_of(upto, int(marks[a // UNIT - 1]), b - a)
 
 
 def _place(layout: Layout):
     """Pieces of each tail: (start in the tail, length, crc, sequence, order)."""
-    per = WINDOW // UNIT
-
     def run(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         for tails, ranks, crcs, marks in batches:
             out = []
@@ -224,19 +245,11 @@ def _place(layout: Layout):
                 if sequence >= 0:
                     out.append([{"start": 0, "length": a, "crc": crc, "sequence": sequence + r - lo, "offset": offset, "streamed": False}])
                     continue
-                units = -(-a // UNIT)
-                begin = layout.stream[a] + (r - lo) * units
-                number, inside = divmod(begin, per)
-                cut = (per - inside) * UNIT
-                number += layout.sequences
-                if cut >= a:
-                    out.append([{"start": 0, "length": a, "crc": crc, "sequence": number, "offset": inside, "streamed": True}])
-                else:
-                    head = int(np.frombuffer(bytes(mark), "<u4")[cut // UNIT - 1])
-                    out.append([
-                        {"start": 0, "length": cut, "crc": head, "sequence": number, "offset": inside, "streamed": True},
-                        {"start": cut, "length": a - cut, "crc": rest_of(crc, head, a - cut), "sequence": number + 1, "offset": 0, "streamed": True},
-                    ])
+                begin = layout.stream[a] + (r - lo) * a
+                known = np.frombuffer(bytes(mark), "<u4")
+                out.append([
+                    {"start": x, "length": y - x, "crc": _between(known, crc, a, x, y), "sequence": layout.sequences + n, "offset": begin + x, "streamed": True} for x, y, n in cuts(begin, a)
+                ])
             yield pd.Series(out)
 
     return F.pandas_udf(run, "array<struct<start:long,length:long,crc:long,sequence:long,offset:long,streamed:boolean>>")
@@ -267,7 +280,7 @@ def pack(docs: DataFrame, path: str | None = None) -> DataFrame:
     )
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id"]
     laid = pieces.where("not streamed").select(*names, "offset")
-    # the few pieces of a streamed sequence close up, as their units round up
+    # the pieces of a streamed window, in the order of the stream, close up
     inside = Window.partitionBy("sequence_id").orderBy("offset").rowsBetween(Window.unboundedPreceding, -1)
     streamed = pieces.where("streamed").withColumn("offset", F.coalesce(F.sum("length").over(inside), F.lit(0)).cast("long")).select(*names, "offset")
 
