@@ -89,7 +89,9 @@ both_ways AS (SELECT x, y FROM edge UNION SELECT y, x FROM edge),
 reach(x, y) AS (SELECT x, y FROM both_ways UNION SELECT reach.x, b.y FROM reach JOIN both_ways b ON reach.y = b.x),
 cls AS (SELECT k, least(k, min(y)) AS c FROM (SELECT DISTINCT k FROM node) n LEFT JOIN reach ON n.k = reach.x GROUP BY k),
 pc AS (SELECT p.*, m.rule, m.own, coalesce(cls.c, node.k) AS c FROM p LEFT JOIN m USING (page_id) LEFT JOIN node ON node.u = p.url LEFT JOIN cls ON cls.k = node.k),
-cv AS (SELECT c, min(own) AS v FROM pc WHERE own IS NOT NULL AND c IS NOT NULL GROUP BY c)
+parsed AS (SELECT u, translate(regexp_extract(u, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(u, '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path FROM addr),
+ruled AS (SELECT u, arg_max(r.v, length(r.h || r.p)) AS own FROM parsed JOIN r ON (host = r.h OR ends_with(host, '.' || r.h)) AND starts_with(path, r.p) GROUP BY u),
+cv AS (SELECT coalesce(cls.c, node.k) AS c, min(own) AS v FROM ruled JOIN node USING (u) LEFT JOIN cls ON cls.k = node.k GROUP BY 1)
 SELECT page_id, host, path, rule, coalesce(own, v, 'allow') AS verdict FROM pc LEFT JOIN cv ON pc.c = cv.c
 """
 

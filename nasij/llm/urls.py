@@ -2,8 +2,8 @@
 
 Pages whose URLs are joined by redirects or canonical links form one class.
 A page with a matching rule takes that rule's verdict. Any other page takes
-its class's: allow if a page of the class is explicitly allowed, else block if
-one is blocked, else allow.
+its class's: allow if an address of the class is explicitly allowed, else block
+if one is blocked, else allow.
 
 Edges come from ``<link rel=canonical>``, ``<meta http-equiv=refresh>`` and
 ``og:url`` in the page, and from an optional table of redirects (src, dst).
@@ -82,10 +82,12 @@ def rule_of(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
 
 
 def page_edges(pages: DataFrame) -> DataFrame:
-    """(src, dst) nodes of each link or redirect between two addresses."""
+    """(src, dst, to) of each link between two addresses: their nodes, and the
+    target's address."""
     found = F.array(*[F.when(F.locate("<link" if i == 0 else "<meta", F.lower(F.col("html"))) > 0, F.regexp_extract("html", p, 1)) for i, p in enumerate(LINKS)])
     links = pages.where(F.col("html").isNotNull() & F.lower(F.col("html")).rlike("canonical|refresh|og:url")).select("url", F.explode(found).alias("link"))
-    return links.select(node_of(F.col("url")).alias("src"), node_of(absolute(F.col("url"), F.col("link"))).alias("dst")).where("src is not null and dst is not null and src <> dst")
+    links = links.select("url", absolute(F.col("url"), F.col("link")).alias("to"))
+    return links.select(node_of(F.col("url")).alias("src"), node_of(F.col("to")).alias("dst"), "to").where("src is not null and dst is not null and src <> dst")
 
 
 def judge(pages: DataFrame, rules=RULES, redirects: DataFrame | None = None) -> DataFrame:
@@ -93,7 +95,7 @@ def judge(pages: DataFrame, rules=RULES, redirects: DataFrame | None = None) ->
     pages = pages.select("page_id", "url", "html")
     edges = page_edges(pages)
     if redirects is not None:
-        edges = edges.unionByName(redirects.select(node_of(F.col("src")).alias("src"), node_of(F.col("dst")).alias("dst")))
+        edges = edges.unionByName(redirects.select(node_of(F.col("src")).alias("src"), node_of(F.col("dst")).alias("dst"), F.col("dst").alias("to")))
     classes = connected_components(edges, "src", "dst")
     host, path = host_of(F.col("url")), path_of(F.col("url"))
     base = pages.select("page_id", host.alias("host"), path.alias("path"), node_of(F.col("url")).alias("node"))
@@ -101,7 +103,11 @@ def judge(pages: DataFrame, rules=RULES, redirects: DataFrame | None = None) ->
     base = base.select("*", name.alias("rule"), verdict.alias("own"))
     base = base.join(classes, "node", "left").withColumn("component", F.coalesce("component", "node"))
     # one row for each class that has a rule; pages then look it up
-    ruled = base.where(F.col("own").isNotNull() & F.col("component").isNotNull()).groupBy("component").agg(F.min("own").alias("class_verdict"))
+    named = base.select("component", "own")
+    # an address that is only linked to can have a rule as well
+    there = rule_of(host_of(F.col("to")), path_of(F.col("to")), rules)[1]
+    linked = edges.select(F.col("dst").alias("node"), there.alias("own")).join(classes, "node", "left").select(F.coalesce("component", "node").alias("component"), "own")
+    ruled = named.unionByName(linked).where("own is not null and component is not null").groupBy("component").agg(F.min("own").alias("class_verdict"))
     return base.join(ruled, "component", "left").select(
         "page_id", "host", "path", "rule", F.coalesce("own", "class_verdict", F.lit("allow")).alias("verdict"), F.col("component").alias("component")
     )
