@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from nasij.functions import text as T
+from nasij.lineage import cut
 
 
 def fingerprint(c: Column) -> Column:
@@ -42,7 +43,8 @@ def keep_first(df: DataFrame, key: str, text: str) -> DataFrame:
 
 def near_pairs(df: DataFrame, key: str, text: str, size: int = 5, threshold: float = 0.8) -> DataFrame:
     """doc_a < doc_b, shared, jaccard: pairs at or above the threshold."""
-    sets = df.select(F.col(key).alias("k"), F.array_sort(shingles(F.col(text), size)).alias("s")).where(F.size("s") > 0)
+    # four branches read the sets: they are computed once
+    sets = cut(df.select(F.col(key).alias("k"), F.array_sort(shingles(F.col(text), size)).alias("s")).where(F.size("s") > 0))
     n = F.size("s")
     prefix = F.slice("s", F.lit(1), n - F.ceil(n * F.lit(threshold) - 1e-9).cast("int") + 1)
     heads = sets.select("k", n.alias("n"), F.explode(prefix).alias("h"))
@@ -120,20 +122,16 @@ def components(pairs: DataFrame, a: str, b: str, rounds: int = 50) -> DataFrame:
     """(node, component): the smallest node that can be reached by pairs.
 
     Labels spread to neighbours and jump to their label's label until none
-    changes; a round's labels are checkpointed.
+    changes; a round's labels are written to the shared folder.
     """
-    spark = pairs.sparkSession
-    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        import tempfile
-
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="nasij-ckpt-"))
     edges = pairs.select(F.col(a).alias("x"), F.col(b).alias("y"))
-    edges = edges.unionByName(edges.select(F.col("y").alias("x"), F.col("x").alias("y"))).distinct().checkpoint()
-    labels = edges.groupBy("x").agg(F.least(F.min("y"), F.first("x")).alias("l")).checkpoint()
+    edges = edges.unionByName(edges.select(F.col("y").alias("x"), F.col("x").alias("y"))).distinct()
+    edges = cut(edges)
+    labels = cut(edges.groupBy("x").agg(F.least(F.min("y"), F.first("x")).alias("l")))
     for _ in range(rounds):
         near = edges.join(labels.select(F.col("x").alias("y"), "l"), "y").groupBy("x").agg(F.min("l").alias("n"))
         step = labels.join(near, "x").select("x", F.col("l").alias("old"), F.least("l", "n").alias("l"))
-        jump = step.join(labels.select(F.col("x").alias("l"), F.col("l").alias("ll")), "l", "left").select("x", "old", F.least("l", F.coalesce("ll", "l")).alias("l")).checkpoint()
+        jump = cut(step.join(labels.select(F.col("x").alias("l"), F.col("l").alias("ll")), "l", "left").select("x", "old", F.least("l", F.coalesce("ll", "l")).alias("l")))
         if not jump.where("old <> l").limit(1).count():
             break
         labels = jump.select("x", "l")
