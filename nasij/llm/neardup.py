@@ -185,7 +185,7 @@ def candidate_links(reps: DataFrame, threshold: float) -> DataFrame:
     return links
 
 
-def components(docs: DataFrame, size: int = 4, num: int = 80, den: int = 100) -> DataFrame:
+def components(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row."""
     ready(docs.sparkSession)
     made = docs.select("doc_id", _describe(size)(text_bytes(F.col("text"))).alias("m")).select("doc_id", "m.*")
@@ -231,7 +231,7 @@ def _sets(size: int):
     return run
 
 
-def deduplicated(docs: DataFrame, size: int = 4, num: int = 80, den: int = 100) -> DataFrame:
+def deduplicated(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """One row of each group of near copies, in the input's columns.
 
     The row of the smallest id stays, once even if its id is repeated. Rows

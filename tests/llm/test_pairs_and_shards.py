@@ -37,14 +37,14 @@ def brute(rows):
 def test_neardup_matches_brute_force(spark):
     docs = cases.corpus(spark)
     want = brute([(r["doc_id"], r["text"]) for r in docs.collect()])
-    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in neardup.components(docs).collect()}
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in neardup.components(docs, size=4).collect()}
     assert got == want
     assert sum(v[1] == k for k, v in want.items()) < len(want)
 
 
 def test_neardup_odd_cases(spark):
     docs = cases.odd(spark)
-    rows = neardup.components(docs).collect()
+    rows = neardup.components(docs, size=4).collect()
     assert len(rows) == docs.count()
     want = brute([(r["doc_id"], r["text"]) for r in docs.where("doc_id is not null").collect()])
     for r in rows:
@@ -53,7 +53,7 @@ def test_neardup_odd_cases(spark):
         else:
             assert (r["n_shingles"], r["component_id"], r["kept"]) == (*want[r["doc_id"]], want[r["doc_id"]][1] == r["doc_id"])
     assert neardup.components(cases.none(spark)).count() == 0
-    kept = neardup.deduplicated(docs)
+    kept = neardup.deduplicated(docs, size=4)
     assert kept.columns == docs.columns
     ids = [r["doc_id"] for r in kept.collect() if r["doc_id"] is not None]
     assert sorted(ids) == sorted(k for k, v in want.items() if v[1] == k)
@@ -67,7 +67,7 @@ def test_large_nodes_and_clusters_are_split_without_loss(spark, monkeypatch):
     extra = spark.createDataFrame([(5000 + i, cases.prose(7, 60) + f" end{i}", "en", "s", 1, 0.1, "q", 1, "r") for i in range(25)], cases.SCHEMA)
     docs = docs.unionByName(extra)
     want = brute([(r["doc_id"], r["text"]) for r in docs.collect()])
-    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in neardup.components(docs).collect()} == want
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in neardup.components(docs, size=4).collect()} == want
 
 
 def test_components_of_paths_stars_and_rings(spark):
