@@ -211,6 +211,15 @@ def _undo(text: str | None) -> str | None:
     return text
 
 
+def extracted_text(c: Column) -> Column:
+    """Text from markup: no direction marks or joiners, single spaces."""
+    return canonical(F.translate(c, "\u200f\u200e\u200c\u200d", ""))
+
+
+def root_key(c: Column) -> Column:
+    return _gsub(c, "(?U)[\\s\u064B-\u065F\u0670]")
+
+
 def repair_encoding(c: Column) -> Column:
     """Mojibake of whole texts undone (an Arrow UDF)."""
     return F.pandas_udf(lambda s: s.map(_undo), "string")(c)

@@ -148,3 +148,41 @@ def first_n(df: DataFrame, group: list[str], same: list[str], order: list, limit
     """First of equal rows in a group, and at most ``limit`` of a group."""
     once = first_by(df, [*group, *same], order)
     return once.withColumn("_r", F.row_number().over(Window.partitionBy(*group).orderBy(*order))).where(F.col("_r") <= limit).drop("_r")
+
+
+def minhash(c: Column, size: int = 5, permutations: int = 128) -> Column:
+    """Minhashes of a text's shingles, null for an empty set."""
+    sign = lambda s: F.when(F.size(s) > 0, F.transform(F.sequence(F.lit(1), F.lit(permutations)), lambda i: F.array_min(F.transform(s, lambda x: F.xxhash64(x, i)))))
+    return T.let(shingles(c, size), sign)
+
+
+def lsh_candidates(df: DataFrame, key: str, text: str, size: int = 5, permutations: int = 128, threshold: float = 0.8) -> DataFrame:
+    """doc_a < doc_b, estimate: pairs that share a band of their minhashes.
+
+    The bands are set for a looser threshold, max(0.3, threshold - 0.2), so that
+    a confirmation step loses little; ``near_pairs`` finds all without them.
+    """
+    loose = max(0.3, threshold - 0.2)
+    rows = max(r for r in range(1, permutations + 1) if (r / permutations) ** (1 / r) <= loose)
+    sets = cut(df.select(F.col(key).alias("k"), minhash(F.col(text), size, permutations).alias("m")).where("m is not null"))
+    bands = F.transform(F.sequence(F.lit(0), F.lit(permutations // rows - 1)), lambda b: F.xxhash64(b, F.slice("m", b * rows + 1, F.lit(rows))))
+    keyed = sets.select("k", F.explode(bands).alias("b"))
+    met = keyed.alias("a").join(keyed.alias("c"), (F.col("a.b") == F.col("c.b")) & (F.col("a.k") < F.col("c.k"))).select(F.col("a.k").alias("doc_a"), F.col("c.k").alias("doc_b")).distinct()
+    both = met.join(sets.select(F.col("k").alias("doc_a"), F.col("m").alias("x")), "doc_a").join(sets.select(F.col("k").alias("doc_b"), F.col("m").alias("y")), "doc_b")
+    same = F.size(F.filter(F.zip_with("x", "y", lambda p, q: p == q), lambda e: e))
+    return both.select("doc_a", "doc_b", (same / permutations).alias("estimate"))
+
+
+def integrity(df: DataFrame, key: str, required: list[str]) -> DataFrame:
+    """One row: rows, repeated keys, rows that lack a required field."""
+    bare = F.lit(False)
+    for f in required:
+        bare = bare | (F.coalesce(F.trim(F.col(f).cast("string")), F.lit("")) == "")
+    one = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.count_if(bare).alias("bare"))
+    return one.agg(F.sum("n").alias("rows"), F.sum(F.col("n") - 1).alias("repeated"), F.sum("bare").alias("incomplete"))
+
+
+def without(df: DataFrame, key: str, removals: DataFrame, path: str) -> None:
+    """Writes the rows that stay to a new place; what is there is never
+    replaced, nor the input."""
+    df.join(removals.select(key), key, "left_anti").write.mode("errorifexists").parquet(path)

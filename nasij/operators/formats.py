@@ -26,6 +26,14 @@ SECRETS = {
     "bearer_token": r"(?i)\bbearer\s+[A-Za-z0-9._-]{20,}",
     "assigned_secret": r"(?i)\b(?:api[_-]?key|secret|token|password)\b\s*[:=]\s*\S{8,}",
 }
+# Common dialect words, a supporting signal only.
+DIALECT_MARKERS = ("هالجذر", "هاللفظ", "هالكلمة", "يعني", "بس", "مش", "إيش", "ليش", "شو", "اللي", "عشان", "كده", "دلوقتي", "إزاي", "وايد", "زين", "شلون", "شنو", "ماكاين", "بزاف", "واش")
+
+
+def dialect_markers(c: Column, markers: tuple[str, ...] = DIALECT_MARKERS, letters: str = "[\u0621-\u064A\u0660-\u0669]") -> Column:
+    """The marker words in a text, whole words in their order, each once."""
+    found = F.regexp_extract_all(F.coalesce(c, F.lit("")), F.lit(letters + "+"), F.lit(0))
+    return F.array_intersect(found, F.array(*map(F.lit, markers)))
 
 
 def lines(c: Column) -> Column:

@@ -68,3 +68,13 @@ def sampled(df: DataFrame, by: str, order: list, limit: int = 50) -> DataFrame:
 
     w = Window.partitionBy(by)
     return df.withColumn("total", F.count(F.lit(1)).over(w)).withColumn("place", F.row_number().over(w.orderBy(*order))).where(F.col("place") <= limit)
+
+
+def verify(df: DataFrame, key: str, chunk: str, text: str, part: str, manifest: DataFrame | None = None, strict: bool = False) -> DataFrame:
+    """All findings of a split: code, what. An empty result is a clean split."""
+    rows = with_parent(df, chunk)
+    found = bad_ids(df, chunk, manifest)
+    for code, seen in (("DOCUMENT_IN_TWO_PARTS", crossing(rows.where("parent is not null"), F.col("parent"), part)), ("TEXT_IN_TWO_PARTS", text_crossing(df, text, part))):
+        found = found.unionByName(seen.select(F.lit(code).alias("code"), F.col("value").cast("string").alias("what")))
+    near = near_crossing(df, key, text, part, strict=strict)
+    return found.unionByName(near.select(F.lit("NEAR_TEXT_IN_TWO_PARTS").alias("code"), F.concat_ws(" ", "doc_a", "doc_b").alias("what")))

@@ -56,6 +56,50 @@ def baseline_ids(ids: list, n: int = 120, seed: int = 0) -> list:
     return random.Random(seed).sample(sorted(ids), min(n, len(ids)))
 
 
+def mean_cosine(df: DataFrame, vector: str) -> DataFrame:
+    """Mean cosine of all pairs in one pass: from the sum of the unit vectors,
+    mean = (|sum|^2 - n) / (n (n - 1)); no pair is formed."""
+    norm = F.sqrt(dot(F.col(vector), F.col(vector)))
+    rows = df.where(F.col(vector).isNotNull() & (norm > 0)).select(norm.alias("norm"), F.posexplode(vector).alias("i", "x"))
+    sums = rows.groupBy("i").agg(F.sum(F.col("x").cast("double") / F.col("norm")).alias("s"), F.count(F.lit(1)).alias("n"))
+    n = F.max("n")
+    return sums.agg(n.alias("n"), F.when(n > 1, (F.sum(F.col("s") * F.col("s")) - n) / (n * (n - 1))).alias("mean_cosine"))
+
+
+def embedded(df: DataFrame, key: str, text: str, encode) -> DataFrame:
+    """key, vector by an encoder that the caller gives: a function from a list
+    of texts to vectors. Without one there is no score, never a made-up one."""
+
+    def run(batches):
+        for rows in batches:
+            yield pd.DataFrame({key: rows[key], "vector": [list(map(float, v)) for v in encode(rows[text].tolist())]})
+
+    kind = df.schema[key].dataType.simpleString()
+    return df.select(key, text).mapInPandas(run, f"`{key}` {kind}, vector array<double>")
+
+
+def token_windows(text: Column, tokenizer_file: str, most: int) -> Column:
+    """Windows by a tokenizer's own ids, half overlapping, two ids spared (an
+    Arrow UDF; the file is a public tokenizer's, its path a parameter)."""
+    budget = max(16, most - 2)
+
+    def run(s: pd.Series) -> pd.Series:
+        from tokenizers import Tokenizer
+
+        t = Tokenizer.from_file(tokenizer_file)
+
+        def one(x: str | None) -> list[str]:
+            ids = t.encode(x or "", add_special_tokens=False).ids
+            if len(ids) <= budget:
+                return [x or ""]
+            starts = range(0, len(ids) - budget + budget // 2, budget // 2)
+            return [t.decode(ids[i : i + budget], skip_special_tokens=True) for i in starts]
+
+        return s.map(one)
+
+    return F.pandas_udf(run, "array<string>")(text)
+
+
 def sequence_ratio(a: Column, b: Column) -> Column:
     """Token-sequence ratio, argument order kept (an Arrow UDF)."""
 

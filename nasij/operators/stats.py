@@ -145,3 +145,10 @@ def ledger(df: DataFrame, abstained: Column, tokens_in: Column, tokens_out: Colu
 def accuracy(df: DataFrame, hit: Column, abstained: Column, by: list[str]) -> DataFrame:
     scored, hits = F.count_if(~abstained), F.count_if(~abstained & hit)
     return df.groupBy(*by).agg(hits.alias("hits"), scored.alias("scored"), F.when(scored > 0, hits / scored).alias("accuracy"))
+
+
+def overview(chunks: DataFrame, samples: DataFrame, pairs: DataFrame) -> DataFrame:
+    """One row: counts, samples for each chunk, pairs for each sample."""
+    c, s, p = (d.agg(F.count(F.lit(1)).alias(n)) for d, n in ((chunks, "chunks"), (samples, "samples"), (pairs, "pairs")))
+    one = c.crossJoin(s).crossJoin(p)  # one row each
+    return one.withColumn("expansion", F.when(F.col("chunks") > 0, F.col("samples") / F.col("chunks"))).withColumn("conversion", F.when(F.col("samples") > 0, F.col("pairs") / F.col("samples")))

@@ -648,3 +648,65 @@ def pair_plan(spark, d):
 )
 def reply_states(spark, d):
     return _t(spark, d, "events").select("event_id", judge.parse_state(F.col("props"), ["k"]).alias("state"))
+
+
+@query("WITH u AS (SELECT list_transform(embedding, lambda x: x::DOUBLE / sqrt(list_sum(list_transform(embedding, lambda y: y::DOUBLE * y::DOUBLE)))) AS v FROM embeddings), e AS (SELECT unnest(v) AS x, generate_subscripts(v, 1) AS i FROM u), s AS (SELECT i, sum(x) AS s, count(*) AS n FROM e GROUP BY i) SELECT max(n) AS n, (sum(s * s) - max(n)) / (max(n) * (max(n) - 1)) AS mean_cosine FROM s")
+def mean_cosine(spark, d):
+    return similarity.mean_cosine(_t(spark, d, "embeddings"), "embedding")
+
+
+@query("WITH o AS (SELECT source, lang, count(*) AS n, count_if(coalesce(trim(text), '') = '') AS bare FROM documents GROUP BY ALL), k AS (SELECT source, sum(n)::BIGINT AS n, sum(bare)::BIGINT AS bare FROM o GROUP BY source) SELECT sum(n)::BIGINT AS rows, sum(n - 1)::BIGINT AS repeated, sum(bare)::BIGINT AS incomplete FROM k")
+def integrity(spark, d):
+    return dedup.integrity(_docs(spark, d), "source", ["text"])
+
+
+@query("SELECT conv_id, turn FROM " + _REPLIES + " WHERE trim(prompt) = trim(reply)")
+def regeneration_targets(spark, d):
+    from nasij.operators.generation import regeneration_targets as same
+
+    return same(_replies(spark, d), "prompt", "reply").select("conv_id", "turn")
+
+
+@query(r"SELECT doc_id, array_to_string(list_sort(list_filter(['und', 'der', 'the', 'les'], lambda m: list_contains(regexp_extract_all(text, '[A-Za-z]+'), m))), ' ') AS marks FROM documents")
+def marker_words(spark, d):
+    found = formats.dialect_markers(F.col("text"), ("und", "der", "the", "les"), "[A-Za-z]")
+    return _docs(spark, d).select("doc_id", F.array_join(F.array_sort(found), " ").alias("marks"))
+
+
+@query("SELECT (SELECT count(*) FROM documents) AS chunks, (SELECT count(*) FROM conversations) AS samples, (SELECT count(*) FROM labels) AS pairs, (SELECT count(*) FROM conversations) / (SELECT count(*) FROM documents) AS expansion, (SELECT count(*) FROM labels) / (SELECT count(*) FROM conversations) AS conversion")
+def overview(spark, d):
+    return stats.overview(_docs(spark, d), _t(spark, d, "conversations"), _t(spark, d, "labels"))
+
+
+@query()
+def lsh_candidates(spark, d):
+    """Bands depend on this engine's hashes: no SQL form; tests hold the
+    estimates to the exact similarity."""
+    return dedup.lsh_candidates(_docs(spark, d), "doc_id", "text")
+
+
+@query()
+def dictionary_facts(spark, d):
+    """Offsets of all matches have no SQL form."""
+    rows = _docs(spark, d).withColumn("f", facts.extracted(F.col("text"), "najdi_popular"))
+    return facts.fact_rows(rows, "doc_id", "f")
+
+
+@query(
+    r"""WITH w AS (SELECT page_id AS id, url FROM pages), s AS (SELECT id, CASE WHEN id % 3 = 0 THEN 'test' ELSE 'train' END AS part, url FROM w)
+SELECT url AS value, count(DISTINCT part) AS parts, min(part) AS first_part, max(part) AS last_part FROM s GROUP BY url HAVING count(DISTINCT part) > 1"""
+)
+def page_crossing(spark, d):
+    rows = _t(spark, d, "pages").withColumn("part", F.when(F.col("page_id") % 3 == 0, "test").otherwise("train"))
+    return leakage.crossing(rows, F.col("url"), "part")
+
+
+@query(
+    """WITH w AS (SELECT event_id AS id, (event_id % 7 * 100)::INT AS left_, (event_id % 40)::INT AS line, (event_id // 400)::INT AS page, event_type AS text FROM events)
+SELECT page, line, string_agg(text, ' ' ORDER BY left_ DESC, text) AS text, count(*) AS n FROM w GROUP BY 1, 2"""
+)
+def ocr_lines(spark, d):
+    e = _t(spark, d, "events")
+    i = F.col("event_id")
+    rows = e.select((i / 400).cast("int").alias("page"), F.lit(1).alias("block_num"), F.lit(1).alias("par_num"), (i % 40).cast("int").alias("line_num"), (i % 7 * 100).cast("int").alias("left"), (i % 40).cast("int").alias("top"), F.lit(90.0).alias("conf"), F.col("event_type").alias("text"))
+    return ocr.lines(rows).select("page", F.col("line_num").alias("line"), "text", F.size(F.split("text", " ")).cast("long").alias("n"))
