@@ -116,6 +116,7 @@ def popular_facts(text: str) -> list[dict]:
     return [*out, *_found("page_reference", PAGE, text)]
 
 
+# The corpora's names in the data.
 PROFILES: dict[str, Callable[[str], list[dict]]] = {"saudi_dialect": dialect_facts, "classical_lexicon": lexicon_facts, "najdi_popular": popular_facts}
 
 
