@@ -60,7 +60,9 @@ def grouped(df: DataFrame, key: str, fn: Callable[[pd.DataFrame], pd.DataFrame],
         if held:
             yield fn(pd.concat(held) if len(held) > 1 else held[0])
 
-    return df.repartition(F.col(key)).sortWithinPartitions(key).mapInPandas(run, schema)
+    # the number is given, as small rows with much work must not be put together
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(parts, F.col(key)).sortWithinPartitions(key).mapInPandas(run, schema)
 
 
 def _describe(size: int):
