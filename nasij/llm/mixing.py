@@ -149,14 +149,16 @@ def _planned(sized: DataFrame) -> DataFrame:
     solved = counted.groupBy("source").applyInPandas(_solve, "source string, size long, rounds long, more long")
     key = lambda a, b, *cols: [F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}")) for c in cols]
     dealt = (
-        parts.alias("p").join(solved.alias("s"), key("p", "s", "source", "size")).select("p.source", "p.size", "salt", "before", "rounds", "more").alias("p")
+        parts.hint("merge").alias("p").join(solved.alias("s"), key("p", "s", "source", "size")).select("p.source", "p.size", "salt", "before", "rounds", "more").alias("p")
         .join(goal.alias("g"), key("p", "g", "source")).select("p.*", "source_size", "target")
     )
     dealt = Written(dealt, "mix-dealt").df
     rank = F.row_number().over(Window.partitionBy("source", "size", "salt").orderBy(F.xxhash64("doc_id", F.lit(SEED + 1)), "doc_id"))
     return (
         sized.withColumn("_rank", rank).alias("d")
-        .join(dealt.alias("p"), key("d", "p", "source", "size", "salt"))
+        # its rows grow with sources and lengths, and its file is far smaller than
+        # its rows: not a side to broadcast
+        .join(dealt.hint("merge").alias("p"), key("d", "p", "source", "size", "salt"))
         .select(
             *[f"d.{c}" for c in sized.columns if c != "salt"], "source_size", "target",
             (F.col("d.size") * (F.col("rounds") + F.when(F.col("before") + F.col("_rank") <= F.col("more"), 1).otherwise(0))).cast("long").alias("taken"),
