@@ -5,10 +5,16 @@ from each codebook, found by beam search over the residuals; its code and the
 norm of the sum are stored. A query scores all codes by table lookups: its
 products with every codeword are computed once, a code's score is the sum of
 its entries over the stored norm. The best of each block of codes are then
-ranked by the exact cosine of the original vectors in double precision.
+ranked by the exact cosine of the original vectors in double precision, with all
+that tie with the last of them and all that can still reach the k-th best: a
+score is off by at most twice the length of what its code leaves over. Of equal
+vectors in a block only the smallest ids can be among the k, so the others are
+set aside first.
 
 Bounds: the codebooks are fitted on at most ``SAMPLE`` vectors drawn by a hash
-of the id. Every row is indexed and scored for every query.
+of the id. Every row is indexed and scored for every query. The allowance for a
+code's error stops at ``SLACK``: among coarsely coded vectors the search is
+approximate, among near copies, whose codes are fine, it is not.
 
 Defined cases: vectors that are null, empty, zero, of another length than most
 of the sample, or hold a null or non-finite component take no part, and null
@@ -33,6 +39,8 @@ BOOKS, WORDS, BEAM = 12, 256, 4
 SAMPLE, ROUNDS = 8192, 6
 #: Codes that are scored together, and how many of them are ranked exactly.
 BLOCK, RERANK = 2048, 48
+#: Most that a score is held to be off, and what rounding adds to it.
+SLACK, ROUNDING = 0.05, 4e-6
 #: Queries that one pass carries to all executors.
 PASS = 8192
 SEED = 9
@@ -75,6 +83,12 @@ def train(x: np.ndarray) -> Codebooks:
 
 def encode(books: Codebooks, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Codes (n x books) and norms of the sums, by beam search."""
+    code, sums = _coded(books, x)
+    return code, np.linalg.norm(sums, axis=1)
+
+
+def _coded(books: Codebooks, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Codes and sums."""
     n = len(x)
     sums = np.zeros((n, 1, books.size), np.float32)
     codes = np.zeros((n, 1, 0), np.uint8)
@@ -91,7 +105,7 @@ def encode(books: Codebooks, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         codes = np.concatenate([codes[row, beam], word[:, :, None].astype(np.uint8)], axis=2)
     top = ((x[:, None, :] - sums) ** 2).sum(axis=2).argmin(axis=1)
     row = np.arange(n)
-    return codes[row, top], np.linalg.norm(sums[row, top], axis=1)
+    return codes[row, top], sums[row, top]
 
 
 def _usable(vectors: pd.Series, size: int) -> np.ndarray:
@@ -117,7 +131,7 @@ def sampled(vectors: DataFrame, limit: int = SAMPLE) -> np.ndarray:
 
 
 def index(vectors: DataFrame, books: Codebooks) -> DataFrame:
-    """vec_id, embedding (doubles), code, norm of every vector that takes part."""
+    """vec_id, embedding (doubles), code, norm, error of every vector that takes part."""
     shared = vectors.sparkSession.sparkContext.broadcast(books)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -125,11 +139,13 @@ def index(vectors: DataFrame, books: Codebooks) -> DataFrame:
             rows = rows[_usable(rows["embedding"], shared.value.size)]
             if len(rows):
                 x = np.stack(rows["embedding"].to_list()).astype(np.float64)
-                code, norm = encode(shared.value, _unit(x).astype(np.float32))
-                yield pd.DataFrame({"vec_id": rows["vec_id"], "embedding": [v.tobytes() for v in x], "code": [c.tobytes() for c in code], "norm": norm.astype(float)})
+                unit = _unit(x)
+                code, sums = _coded(shared.value, unit.astype(np.float32))
+                norm, error = np.linalg.norm(sums, axis=1), np.linalg.norm(unit - sums, axis=1)
+                yield pd.DataFrame({"vec_id": rows["vec_id"], "embedding": [v.tobytes() for v in x], "code": [c.tobytes() for c in code], "norm": norm.astype(float), "error": error.astype(float)})
 
     whole = F.transform("embedding", lambda v: F.coalesce(v.cast("double"), F.lit(float("nan"))))
-    return vectors.where("vec_id is not null and embedding is not null").select("vec_id", whole.alias("embedding")).mapInPandas(run, "vec_id long, embedding binary, code binary, norm double")
+    return vectors.where("vec_id is not null and embedding is not null").select("vec_id", whole.alias("embedding")).mapInPandas(run, "vec_id long, embedding binary, code binary, norm double, error double")
 
 
 def cosines(x: np.ndarray, q: np.ndarray) -> np.ndarray:
@@ -148,10 +164,13 @@ def _search(shared, k: int):
         best: list = [None] * len(ids)
 
         def block(rows: pd.DataFrame) -> None:
+            # one more than k, as a query leaves out its own id
+            rows = rows[rows.groupby("embedding")["vec_id"].rank("dense") <= k + 1]
             own = rows["vec_id"].to_numpy()
             x = np.frombuffer(b"".join(rows["embedding"]), np.float64).reshape(-1, dims)
             code = np.frombuffer(b"".join(rows["code"]), np.uint8).reshape(-1, len(tables))
             norm = np.maximum(rows["norm"].to_numpy(), 1e-9).astype(np.float32)
+            slack = (np.minimum(2 * rows["error"].to_numpy(), SLACK) + ROUNDING).astype(np.float32)
             for a in range(0, len(ids), 256):
                 b = min(a + 256, len(ids))
                 score = np.zeros((b - a, len(own)), np.float32)
@@ -161,7 +180,14 @@ def _search(shared, k: int):
                 keep = min(RERANK + 1, len(own))
                 near = np.argpartition(-score, keep - 1, axis=1)[:, :keep] if keep < len(own) else np.tile(np.arange(len(own)), (b - a, 1))
                 for i in range(a, b):
-                    at = near[i - a]
+                    at, near_by = near[i - a], score[i - a]
+                    mine = at[own[at] != ids[i]]
+                    known = cosines(x[mine], q[i])
+                    if best[i] is not None:
+                        known = np.concatenate([known, best[i]["s"]])
+                    # what ties with the last of these or can reach the k-th best
+                    reach = np.partition(known, -k)[-k] if len(known) >= k else -np.inf
+                    at = np.flatnonzero((near_by >= near_by[at].min()) | (near_by + slack >= reach))
                     at = at[own[at] != ids[i]]
                     found = pd.DataFrame({"v": own[at], "s": cosines(x[at], q[i])}) if len(at) else pd.DataFrame({"v": own[:0], "s": np.zeros(0)})
                     order = np.lexsort((found["v"].to_numpy(), -found["s"].to_numpy()))[:k]
@@ -208,7 +234,7 @@ def search(vectors: DataFrame, modulus: int = 50, k: int = 5) -> DataFrame:
         if not len(ids):
             continue
         q = np.frombuffer(b"".join(bytes(r[1]) for r in rows), np.float64).reshape(len(ids), -1)
-        part = indexed.select("vec_id", "embedding", "code", "norm").mapInPandas(_search(spark.broadcast((ids, q, books)), k), "query_id long, vec_id long, score double")
+        part = indexed.select("vec_id", "embedding", "code", "norm", "error").mapInPandas(_search(spark.broadcast((ids, q, books)), k), "query_id long, vec_id long, score double")
         found = part if found is None else found.unionByName(part)
     if found is None:
         return empty

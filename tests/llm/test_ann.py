@@ -48,6 +48,30 @@ def test_odd_vectors_and_ties(spark):
     assert ann.search(table(spark, [(0, e)]), 50, 5).count() == 0
 
 
+def test_copies_and_near_copies_are_found_by_id(spark):
+    rng = np.random.default_rng(4)
+    n = 6000
+    kind, base = rng.integers(0, 3, n), rng.normal(size=32)
+    x = rng.normal(size=(n, 32))
+    x[kind == 0] = base
+    x[kind == 1] = base + 0.3 * rng.normal(size=32) + 1e-3 * rng.normal(size=(int((kind == 1).sum()), 32))
+    vectors = [(int(i), v.tolist()) for i, v in zip(rng.permutation(n), x.astype(np.float32), strict=True)]
+    want = {}
+    ids, y = np.array([i for i, _ in vectors]), np.array([v for _, v in vectors])
+    for i in range(0, n, 50):
+        s = ann.cosines(y, y[np.flatnonzero(ids == i)[0]])
+        order = np.lexsort((ids, -s))
+        want[i] = [int(v) for v in ids[order] if v != i][:5]
+    got = {}
+    for r in ann.search(table(spark, vectors), 50, 5).orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append(r["vec_id"])
+    kinds = {i: int(k) for (i, _), k in zip(vectors, kind, strict=True)}
+    assert got.keys() == want.keys()
+    for k in (0, 1):
+        assert all(got[i] == want[i] for i in want if kinds[i] == k), k
+    assert sum(len(set(got[i]) & set(want[i])) for i in want) >= 0.95 * 5 * len(want)
+
+
 def test_beam_search_beats_one_path():
     rng = np.random.default_rng(0)
     x = rng.normal(size=(4300, 16))
