@@ -18,6 +18,8 @@ Further columns of the input are kept by ``mixed`` and ignored by ``plan``.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -66,29 +68,76 @@ def choose_counts(lengths: np.ndarray, counts: np.ndarray, budget: int, seed: in
     """How many documents of each length to take, for a sum next to ``budget``.
 
     A proportional share of each length first, then a bounded knapsack on bit
-    sets for what is left of the budget.
+    sets for what is left of the budget. Where that leaves words over, other
+    first shares are tried, and the largest sum is kept.
     """
     lengths, counts = lengths.astype(np.int64), counts.astype(np.int64)
     total = int((lengths * counts).sum())
+    best = np.zeros(len(counts), np.int64)
     if total <= 0 or budget <= 0:
-        return np.zeros(len(counts), np.int64)
+        return best
     if budget >= total:
         return counts.copy()
+    for taken in _shares(lengths, counts, budget, seed):
+        for part in (1.0, 0.75, 0.5):
+            got = _filled(lengths, counts, taken, budget, part, seed)
+            if (lengths * got).sum() > (lengths * best).sum():
+                best = got
+            if (lengths * best).sum() == budget:
+                return best
+    return best
+
+
+def _share(lengths: np.ndarray, counts: np.ndarray, budget: int, seed: int) -> np.ndarray:
+    """A proportional share of each length, with a reserve for the knapsack."""
+    total = int((lengths * counts).sum())
+    if total <= 0:
+        return np.zeros(len(counts), np.int64)
     # what the knapsack is to fill: enough to reach sums of any value
-    reserve = min(4 * int(lengths.max()), DP_BUDGET // 2)
-    taken = np.floor(counts * (max(budget - reserve, 0) / total)).astype(np.int64)
+    reserve = min(4 * int(lengths[counts > 0].max()), DP_BUDGET // 2)
+    taken = np.minimum(counts, np.floor(counts * (max(budget - reserve, 0) / total)).astype(np.int64))
     left = budget - int((lengths * taken).sum())
-    spare = counts - taken
     # one more of lengths in a seeded order, until the knapsack can take over
-    rng = np.random.default_rng(seed)
-    for i in rng.permutation(len(lengths)):
+    for i in np.random.default_rng(seed).permutation(len(lengths)):
         if left <= reserve:
             break
-        k = min(int(spare[i]), (left - reserve) // max(int(lengths[i]), 1), 1)
-        if k > 0 and lengths[i] > 0:
-            taken[i] += k
-            spare[i] -= k
-            left -= k * int(lengths[i])
+        if taken[i] < counts[i] and 0 < lengths[i] <= left - reserve:
+            taken[i] += 1
+            left -= int(lengths[i])
+    return taken
+
+
+def _shares(lengths: np.ndarray, counts: np.ndarray, budget: int, seed: int) -> Iterator[np.ndarray]:
+    """First shares: of all lengths alike; then with very long documents chosen
+    before, as many as the others cannot make up for; then none."""
+    yield _share(lengths, counts, budget, seed)
+    long = lengths > DP_BUDGET // 8
+    short = np.where(long, 0, counts)
+    can = int((lengths * short).sum())
+    some = np.floor(counts * (budget / int((lengths * counts).sum()))).astype(np.int64)
+    for first in (np.where(long, some, 0), np.zeros(len(counts), np.int64)):
+        for order in (np.argsort(-lengths, kind="stable"), np.argsort(lengths, kind="stable")):
+            taken = first.copy()
+            rest = budget - int((lengths * taken).sum())
+            for i in order:
+                if rest <= can:
+                    break
+                if long[i]:
+                    k = min(int(counts[i] - taken[i]), rest // int(lengths[i]), -(-(rest - can) // int(lengths[i])))
+                    taken[i] += k
+                    rest -= k * int(lengths[i])
+            yield taken + _share(lengths, short, rest, seed)
+    yield np.zeros(len(counts), np.int64)
+
+
+def _filled(lengths: np.ndarray, counts: np.ndarray, taken: np.ndarray, budget: int, part: float, seed: int) -> np.ndarray:
+    """``taken`` and what fills the rest of the budget. The knapsack gets at most
+    ``part`` of what its lengths hold; the other lengths fill what is above."""
+    taken = taken.copy()
+    left = budget - int((lengths * taken).sum())
+    spare = counts - taken
+    rng = np.random.default_rng(seed)
+    rng.permutation(len(lengths))
     for i in np.argsort(-lengths, kind="stable"):
         if left <= DP_BUDGET:
             break
@@ -97,8 +146,20 @@ def choose_counts(lengths: np.ndarray, counts: np.ndarray, budget: int, seed: in
         spare[i] -= k
         left -= k * int(lengths[i])
     fits = [i for i in rng.permutation(len(lengths)) if spare[i] > 0 and 0 < lengths[i] <= left]
-    small = sorted(fits, key=lambda i: lengths[i])[: DP_LENGTHS // 2]
-    used = list(dict.fromkeys([*fits[: DP_LENGTHS // 2], *small]))
+    small = sorted(fits, key=lambda i: lengths[i])
+    used = list(dict.fromkeys([*fits[: DP_LENGTHS // 2], *small[: DP_LENGTHS // 2]]))
+    if part < 1:
+        used = list(dict.fromkeys([*used, *small[-DP_LENGTHS // 4 :]]))
+    goal = int(part * sum(min(int(spare[i]), left // int(lengths[i])) * int(lengths[i]) for i in used))
+    others = set(fits) - set(used)
+    for i in reversed(small):
+        if left <= goal:
+            break
+        if i in others:
+            k = min(int(spare[i]), left // int(lengths[i]), -(-(left - goal) // int(lengths[i])))
+            taken[i] += k
+            spare[i] -= k
+            left -= k * int(lengths[i])
     # reach[k]: bit b is set if the first k bundles can sum to b
     bundles = []
     for i in used:

@@ -145,6 +145,23 @@ def test_chosen_counts_meet_the_budget(budget):
     assert int((lengths * got).sum()) == min(budget, total)
 
 
+@pytest.mark.parametrize("longest", [70_000, 16_000, 500_000])
+def test_one_very_long_document_leaves_no_gap(longest):
+    lengths, counts = np.array([*range(1, 201), longest]), np.array([5] * 200 + [1])
+    for budget in (102_300, 85_250, 99_000, 60_000, 100_501, 170_000):
+        got = mixing.choose_counts(lengths, counts, budget)
+        assert (got >= 0).all() and (got <= counts).all()
+        short = 5 * 100 * 201
+        assert int((lengths * got).sum()) == (min(budget, short) if budget < longest else min(budget, short + longest)), budget
+
+
+def test_small_source_with_one_very_long_document(spark):
+    sizes = [n for n in range(1, 201) for _ in range(5)] + [70_000]
+    rows = [(i, "w " * n, "en", "only", 1, 0.0, "", 1, "") for i, n in enumerate(sizes)]
+    got = mixing.plan(spark.createDataFrame(rows, cases.SCHEMA)).collect()
+    assert abs(sum(r["taken"] for r in got) - got[0]["target"]) <= 1
+
+
 # --- packing
 
 
