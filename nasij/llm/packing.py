@@ -9,7 +9,8 @@ length: tails follow one another and are cut, at a multiple of ``UNIT`` ids,
 where a window ends.
 
 Which tail takes which place follows from its number among the tails of its
-length, so that no task or driver sees more than the histogram.
+length, so that the driver sees no more than the histogram. Each piece carries
+its ids, as little-endian 32-bit numbers, and the checksum taken of them.
 
 Defined cases: a null or empty text is the end id alone; equal rows are packed
 one by one; very long texts fill whole windows of their own. Empty input gives
@@ -93,8 +94,8 @@ def slices(text: str) -> Iterator[str]:
 
 
 def _measure(path: str | None):
-    """Per text: ids, checksums of its whole windows, of its tail, of the tail's
-    beginnings by UNIT, and its first whole window's number in the task."""
+    """Per text: its number of ids, the ids of its whole windows and of its tail,
+    and its first whole window's number in the task."""
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         encode, before = encoder(path), 0
@@ -105,17 +106,12 @@ def _measure(path: str | None):
                 ids = np.concatenate([*parts, [END]]).astype("<u4")
                 full, tail = divmod(len(ids), WINDOW)
                 raw = ids.tobytes()
-                whole = [zlib.crc32(raw[i * 4 * WINDOW : (i + 1) * 4 * WINDOW]) for i in range(full)]
-                rest, marks, crc = raw[full * 4 * WINDOW :], [], 0
-                for i in range(0, len(rest), 4 * UNIT):
-                    if i:
-                        marks.append(crc)
-                    crc = zlib.crc32(rest[i : i + 4 * UNIT], crc)
-                rows.append((len(ids), whole, tail, crc, np.array(marks, "<u4").tobytes(), before))
+                whole = [raw[i * 4 * WINDOW : (i + 1) * 4 * WINDOW] for i in range(full)]
+                rows.append((len(ids), full, whole, tail, raw[full * 4 * WINDOW :], before))
                 before += full
-            yield pd.DataFrame(rows, columns=["tokens", "whole", "tail", "crc", "marks", "first"])
+            yield pd.DataFrame(rows, columns=["tokens", "windows", "whole", "tail", "rest", "first"])
 
-    return F.pandas_udf(run, "tokens long, whole array<long>, tail int, crc long, marks binary, first long")
+    return F.pandas_udf(run, "tokens long, windows long, whole array<binary>, tail int, rest binary, first long")
 
 
 def rest_of(whole: int, begin: int, ids: int) -> int:
@@ -225,38 +221,31 @@ def cuts(begin: int, length: int) -> list[tuple[int, int, int]]:
     return out
 
 
-def _between(marks: np.ndarray, whole: int, length: int, a: int, b: int) -> int:
-    """Checksum of the ids from a to b of a tail."""
-    upto = whole if b == length else int(marks[b // UNIT - 1])
-    return upto if a == 0 else rest_of(upto, int(marks[a // UNIT - 1]), b - a)
-
-
 def _place(layout: Layout):
-    """Pieces of each tail: (start in the tail, length, crc, sequence, order)."""
-    def run(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        for tails, ranks, crcs, marks in batches:
+    """Pieces of each tail: (start in the tail, length, sequence, order)."""
+    def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for tails, ranks in batches:
             out = []
-            for a, r, crc, mark in zip(tails.tolist(), ranks.tolist(), crcs.tolist(), marks, strict=True):
+            for a, r in zip(tails.tolist(), ranks.tolist(), strict=True):
                 if not a:
                     out.append([])
                     continue
                 table = layout.places[a]
                 lo, sequence, offset = table[np.searchsorted(table[:, 0], r, "right") - 1].tolist()
                 if sequence >= 0:
-                    out.append([{"start": 0, "length": a, "crc": crc, "sequence": sequence + r - lo, "offset": offset, "streamed": False}])
+                    out.append([{"start": 0, "length": a, "sequence": sequence + r - lo, "offset": offset, "streamed": False}])
                     continue
                 begin = layout.stream[a] + (r - lo) * a
-                known = np.frombuffer(bytes(mark), "<u4")
                 out.append([
-                    {"start": x, "length": y - x, "crc": _between(known, crc, a, x, y), "sequence": layout.sequences + n, "offset": begin + x, "streamed": True} for x, y, n in cuts(begin, a)
+                    {"start": x, "length": y - x, "sequence": layout.sequences + n, "offset": begin + x, "streamed": True} for x, y, n in cuts(begin, a)
                 ])
             yield pd.Series(out)
 
-    return F.pandas_udf(run, "array<struct<start:long,length:long,crc:long,sequence:long,offset:long,streamed:boolean>>")
+    return F.pandas_udf(run, "array<struct<start:long,length:long,sequence:long,offset:long,streamed:boolean>>")
 
 
 def pack(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
+    """doc_id, start, length, ids, ids_crc32, doc_tokens, sequence_id, offset."""
     ready(docs.sparkSession)
     spark = docs.sparkSession
     # the row's own number and task are stable once written
@@ -273,22 +262,23 @@ def pack(docs: DataFrame, path: str | None = None) -> DataFrame:
     base = layout.sequences + layout.streamed
 
     numbered = Window.partitionBy("tail", "salt").orderBy("row")
-    ranked = tails.where("tail > 0").select("doc_id", "tokens", "tail", "salt", "crc", "marks", F.row_number().over(numbered).alias("_r"), "row").join(parts.select("tail", "salt", "before"), ["tail", "salt"])
-    place = _place(layout)("tail", F.col("before") + F.col("_r") - 1, "crc", "marks")
-    pieces = ranked.select("doc_id", "tokens", "tail", F.explode(place).alias("p")).select(
-        "doc_id", (F.col("tokens") - F.col("tail") + F.col("p.start")).alias("start"), "p.length", F.col("p.crc").alias("ids_crc32"), F.col("tokens").alias("doc_tokens"), F.col("p.sequence").alias("sequence_id"), "p.offset", "p.streamed"
+    ranked = tails.where("tail > 0").select("doc_id", "tokens", "tail", "salt", "rest", F.row_number().over(numbered).alias("_r"), "row").join(parts.select("tail", "salt", "before"), ["tail", "salt"])
+    place = _place(layout)("tail", F.col("before") + F.col("_r") - 1)
+    pieces = ranked.select("doc_id", "tokens", "tail", "rest", F.explode(place).alias("p")).select(
+        "doc_id", (F.col("tokens") - F.col("tail") + F.col("p.start")).alias("start"), "p.length", F.expr("substring(rest, int(4 * p.start + 1), int(4 * p.length))").alias("ids"), F.col("tokens").alias("doc_tokens"), F.col("p.sequence").alias("sequence_id"), "p.offset", "p.streamed"
     )
-    names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id"]
+    names = ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id"]
     laid = pieces.where("not streamed").select(*names, "offset")
     # the pieces of a streamed window, in the order of the stream, close up
     inside = Window.partitionBy("sequence_id").orderBy("offset").rowsBetween(Window.unboundedPreceding, -1)
     streamed = pieces.where("streamed").withColumn("offset", F.coalesce(F.sum("length").over(inside), F.lit(0)).cast("long")).select(*names, "offset")
 
     # whole windows, numbered task by task
-    tasks = tails.groupBy("task").agg(F.sum(F.size("whole")).alias("n"))
+    tasks = tails.groupBy("task").agg(F.sum("windows").alias("n"))
     tasks = tasks.withColumn("_base", F.coalesce(F.sum("n").over(Window.orderBy("task").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("task", "_base")
-    whole = tails.where(F.size("whole") > 0).join(tasks, "task").select("doc_id", "tokens", "first", "_base", F.posexplode("whole").alias("i", "crc")).select(
-        "doc_id", (F.col("i") * WINDOW).cast("long").alias("start"), F.lit(WINDOW).cast("long").alias("length"), F.col("crc").alias("ids_crc32"), F.col("tokens").alias("doc_tokens"),
+    whole = tails.where("windows > 0").join(tasks, "task").select("doc_id", "tokens", "first", "_base", F.posexplode("whole").alias("i", "ids")).select(
+        "doc_id", (F.col("i") * WINDOW).cast("long").alias("start"), F.lit(WINDOW).cast("long").alias("length"), "ids", F.col("tokens").alias("doc_tokens"),
         (F.lit(base) + F.col("_base") + F.col("first") + F.col("i")).cast("long").alias("sequence_id"), F.lit(0).cast("long").alias("offset"),
     )
-    return laid.unionByName(streamed).unionByName(whole)
+    every = laid.unionByName(streamed).unionByName(whole)
+    return every.select("doc_id", "start", "length", "ids", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")

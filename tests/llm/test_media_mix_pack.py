@@ -260,6 +260,20 @@ def test_packing_is_whole(spark):
     assert packing.pack(cases.none(spark)).count() == 0
 
 
+def test_packed_sequences_hold_the_ids(spark):
+    docs = cases.odd(spark).unionByName(cases.corpus(spark, 60))
+    t, _ = held_to_tokenizers([])
+    want = defaultdict(list)
+    for r in docs.collect():
+        want[r["doc_id"]].append(np.array([*t.encode(r["text"] or "", add_special_tokens=False).ids, 1], "<u4"))
+    rows = packing.pack(docs).collect()
+    for r in rows:
+        assert len(r["ids"]) == 4 * r["length"] and zlib.crc32(bytes(r["ids"])) == r["ids_crc32"]
+        assert any(len(i) == r["doc_tokens"] and i[r["start"] : r["start"] + r["length"]].tobytes() == bytes(r["ids"]) for i in want[r["doc_id"]])
+    assert any(r["length"] < r["doc_tokens"] % packing.WINDOW and r["start"] % packing.WINDOW for r in rows)
+    assert sum(r["length"] for r in rows) == sum(len(i) for v in want.values() for i in v)
+
+
 def test_packing_leaves_little_padding(spark):
     # one length that a third of all have, which pairs only with itself or by cuts
     texts = [cases.prose(1, 150) for _ in range(150)] + [cases.prose(i, 20 + i % 190) for i in range(300)]
