@@ -230,13 +230,12 @@ def _planned(sized: DataFrame) -> DataFrame:
 def mixed(docs: DataFrame) -> DataFrame:
     """The rows of the mix: each document as often as it is taken.
 
-    Documents of size 0 fill no words and stay out. Rows are found again by id
-    and text hash, so equal rows share the copies that they got together.
+    Documents of size 0 fill no words and stay out. The rows are numbered and
+    written, so that each gets its own copies, equal rows and null ids as well.
     """
-    own = [F.col("doc_id"), F.xxhash64("text")]
-    drawn = _planned(docs.select("doc_id", "source", own[1].alias("_text"), words(F.col("text")).alias("size")))
-    copies = drawn.where("taken > 0").groupBy("doc_id", "source", "_text").agg(F.sum(F.expr("taken div size")).alias("_copies"), F.count(F.lit(1)).alias("_rows"))
-    same = F.col("d.doc_id").eqNullSafe(F.col("c.doc_id")) & F.col("d.source").eqNullSafe(F.col("c.source")) & F.xxhash64("d.text").eqNullSafe(F.col("c._text"))
-    found = docs.alias("d").join(copies.alias("c"), same)
-    one = found.select("d.*", F.explode(F.sequence(F.lit(1), F.ceil(F.col("_copies") / F.col("_rows")).cast("int"))).alias("_copy"))
+    # the rows' own numbers are stable once written
+    rows = Written(docs.withColumn("_row", F.monotonically_increasing_id()), "mix-rows").df
+    drawn = _planned(rows.select("doc_id", "source", "_row", words(F.col("text")).alias("size")))
+    copies = drawn.where("taken > 0").select("_row", F.expr("int(taken div size)").alias("_copies"))
+    one = rows.join(copies, "_row").select(*[rows[c] for c in docs.columns], F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("_copy"))
     return one.drop("_copy")

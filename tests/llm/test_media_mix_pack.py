@@ -162,6 +162,17 @@ def test_small_source_with_one_very_long_document(spark):
     assert abs(sum(r["taken"] for r in got) - got[0]["target"]) <= 1
 
 
+def test_mixed_takes_equal_rows_as_planned(spark):
+    same = [(i, "a b c d e", "en", "hot", 1, 0.0, "", 1, "") for i in [7] * 300 + [None] * 300]
+    docs = spark.createDataFrame(same + [(1000 + i, cases.prose(i, 3 + i % 7), "en", "cold", 1, 0.0, "", 1, "") for i in range(100)], cases.SCHEMA)
+    words, want = defaultdict(int), defaultdict(int)
+    for r in mixing.mixed(docs).collect():
+        words[r["source"]] += len(r["text"].split())
+    for r in mixing.plan(docs).collect():
+        want["cold" if (r["doc_id"] or 0) >= 1000 else "hot"] += r["taken"]
+    assert words == want
+
+
 # --- packing
 
 
