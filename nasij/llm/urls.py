@@ -83,8 +83,9 @@ def rule_of(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
 
 def page_edges(pages: DataFrame) -> DataFrame:
     """(src, dst, to) of each link between two addresses: their nodes, and the
-    target's address."""
-    found = F.array(*[F.when(F.locate("<link" if i == 0 else "<meta", F.lower(F.col("html"))) > 0, F.regexp_extract("html", p, 1)) for i, p in enumerate(LINKS)])
+    target's address. Every tag of a page counts."""
+    none = F.array().cast("array<string>")
+    found = F.flatten(F.array(*[F.when(F.locate("<link" if i == 0 else "<meta", F.lower(F.col("html"))) > 0, F.regexp_extract_all("html", F.lit(p), F.lit(1))).otherwise(none) for i, p in enumerate(LINKS)]))
     links = pages.where(F.col("html").isNotNull() & F.lower(F.col("html")).rlike("canonical|refresh|og:url")).select("url", F.explode(found).alias("link"))
     links = links.select("url", absolute(F.col("url"), F.col("link")).alias("to"))
     return links.select(node_of(F.col("url")).alias("src"), node_of(F.col("to")).alias("dst"), "to").where("src is not null and dst is not null and src <> dst")

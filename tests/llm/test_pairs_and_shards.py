@@ -134,6 +134,13 @@ def test_url_rules_and_propagation(spark):
     assert judged(spark, []) == {}
 
 
+def test_every_link_of_a_page_is_an_edge(spark):
+    two = '<link rel="canonical" href="https://one.org/"><p><link href="https://a.example.com/en/1" rel="canonical">'
+    og = '<meta property="og:url" content="https://two.org/x"><meta property="og:url" content="https://q.net/es/1">'
+    got = judged(spark, [(1, "https://free.org/a", two, None), (2, "https://free.org/b", og, None), (3, "https://one.org/", None, None), (4, "https://two.org/x", "", None)])
+    assert [got[i][3] for i in (1, 2, 3, 4)] == ["block"] * 4
+
+
 def test_url_operator_stays_native(spark):
     plan = urls.judge(spark.createDataFrame([(1, "https://a.com/b", "")], "page_id long, url string, html string"))._jdf.queryExecution().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
