@@ -1,19 +1,22 @@
 """Quality by compression with zstandard dictionaries of good and bad text.
 
 One dictionary is built from good and one from bad labelled documents. A text
-is compressed in blocks with each; the difference of the sizes over their sum
-says which kind it resembles. Repetition makes both sizes small, so the size
-without a dictionary, beneath that of usual good text, counts too. A logistic
-curve over labelled documents that are in neither dictionary turns the two into
-a score.
+is compressed in short blocks with each, so that what a block repeats of the
+text before it saves nothing and the dictionaries decide. The normalised
+difference of the two sizes says which kind it resembles: of the whole text,
+and of the worst tenth of its blocks, as a text may be bad in places. A
+logistic curve over labelled documents that are in neither dictionary turns the
+two differences into a score.
 
 Bounds: at most ``PER_CLASS`` labelled documents of each class are read for the
-fit, and ``PIECE`` bytes from the start, middle and end of each go into a
-dictionary. Scoring reads whole texts.
-
-Defined cases: a null or empty text has difference 0 and so the curve's value
-there; without labels of both classes every score is the share of good labels
-(0.5 if there are none). Equal texts score alike. Extra columns are ignored.
+fit; of each that goes into a dictionary at most ``PIECES`` pieces of ``PIECE``
+bytes, evenly spaced over the text. The curve is fitted on whole texts and
+scoring reads whole texts.
+
+Defined cases: a null or empty text has differences of 0 and so the curve's
+value there; without labels of both classes every score is the share of good
+labels (0.5 if there are none). Equal texts score alike; rows that repeat a
+sampled id count once. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -28,14 +31,17 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nasij.llm.common import held_out, label_counts, label_sample, logistic, ready, text_bytes
+from nasij.llm.common import Written, held_out, label_counts, label_sample, logistic, ready, text_bytes
 
 PER_CLASS = 3000
-PIECE = 1024
-DICTIONARY = 112 << 10
-#: Bytes added to the sum of the sizes, so that short texts tell less.
-DAMP = 256
-BLOCK = 8 << 10
+PIECE, PIECES = 1024, 8
+DICTIONARY = 256 << 10
+#: Of so many labelled documents one is kept for the curve.
+SHARE = 4
+#: Bytes added to the sums of sizes, of texts and of blocks, so that short ones
+#: tell less.
+DAMP, BLOCK_DAMP = 16, 32
+BLOCK, WORST = 256, 0.1
 LEVEL = 3
 THRESHOLD = 0.7
 
@@ -44,20 +50,15 @@ THRESHOLD = 0.7
 class Compression:
     good: bytes
     bad: bytes
-    #: of the difference and of the repetition
+    #: of the whole text's difference and of its worst blocks'
     slopes: tuple[float, float]
     bias: float
-    usual: float = 1.0
 
-    def score(self, difference: float, ratio: float) -> float:
-        z = self.slopes[0] * difference + self.slopes[1] * repetition(ratio, self.usual) + self.bias
+    def score(self, whole: float, worst: float) -> float:
+        z = self.slopes[0] * whole + self.slopes[1] * worst + self.bias
         return 1 / (1 + math.exp(-max(-35.0, min(35.0, z))))
 
 
-def repetition(ratio: float, usual: float) -> float:
-    return max(0.0, math.log(usual / max(ratio, 1e-4)))
-
-
 class Sizer:
     """Compressed sizes under both dictionaries."""
 
@@ -67,22 +68,26 @@ class Sizer:
             d = zstandard.ZstdCompressionDict(raw)
             d.precompute_compress(level=LEVEL)
             self.tools.append(zstandard.ZstdCompressor(level=LEVEL, dict_data=d, write_checksum=False, write_content_size=False, write_dict_id=False))
-        self.tools.append(zstandard.ZstdCompressor(level=1, write_checksum=False, write_content_size=False))
+
+    def sizes(self, text: bytes) -> np.ndarray:
+        """Two rows: each block's size with the good and the bad dictionary."""
+        blocks = [text[i : i + BLOCK] for i in range(0, len(text), BLOCK)]
+        return np.array([[len(t.compress(b)) for b in blocks] for t in self.tools], np.int64).reshape(2, -1)
 
     def measure(self, text: bytes) -> tuple[float, float]:
-        """The difference, above 0 if the good dictionary makes it smaller, and
-        the size without a dictionary as a share of the text's."""
+        """The differences, above 0 where the good dictionary saves more."""
         if not text:
-            return 0.0, 1.0
-        good, bad, plain = (sum(len(t.compress(text[i : i + BLOCK])) for i in range(0, len(text), BLOCK)) for t in self.tools)
-        return (bad - good) / (good + bad + DAMP), plain / len(text)
+            return 0.0, 0.0
+        good, bad = self.sizes(text)
+        whole = int(bad.sum() - good.sum()) / (int(good.sum() + bad.sum()) + DAMP)
+        return whole, float(np.quantile((bad - good) / (good + bad + BLOCK_DAMP), WORST))
 
 
 def pieces(text: bytes) -> list[bytes]:
-    if len(text) <= 3 * PIECE:
-        return [text]
-    middle = (len(text) - PIECE) // 2
-    return [text[:PIECE], text[middle : middle + PIECE], text[-PIECE:]]
+    """The text if it is short, else evenly spaced pieces of it."""
+    if len(text) <= PIECE * PIECES:
+        return [text[i : i + PIECE] for i in range(0, len(text), PIECE)]
+    return [text[i : i + PIECE] for i in np.linspace(0, len(text) - PIECE, PIECES).astype(int)]
 
 
 def _dictionary(samples: list[bytes]) -> bytes:
@@ -104,34 +109,42 @@ def fit(docs: DataFrame, labels: DataFrame, column: str = "quality", per_class:
     if not counts[0] or not counts[1]:
         return unfitted
     chosen = label_sample(labels, column, per_class)
-    cut = F.pandas_udf(lambda texts: texts.map(lambda t: b"\n".join(pieces(bytes(t)))), "binary")
-    # at most 2 * per_class rows of at most 3 pieces come to the driver
-    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]).select("doc_id", "y", cut(text_bytes(F.col("text"))).alias("t")).collect()
-    sample.sort(key=lambda r: r["doc_id"])
-    texts, y = [bytes(r["t"]) for r in sample], np.array([r["y"] for r in sample])
-    if len(set(y.tolist())) < 2:
+    part = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(SHARE))
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
+    sample = Written(rows.select("doc_id", "y", text_bytes(F.col("text")).alias("t"), part.alias("part")), "quality-sample")
+    try:
+        return _fitted(sample.df, counts, unfitted)
+    finally:
+        sample.drop()
+
+
+def _fitted(sample: DataFrame, counts: dict[int, int], unfitted: Compression) -> Compression:
+    have = {(r["y"], r["curve"]): r["n"] for r in sample.groupBy("y", (F.col("part") == 0).alias("curve")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    if len({y for y, _ in have}) < 2:
         return unfitted
-    # the even ones of each class build the dictionaries, the odd ones the curve
-    build = _rank(y) % 2 == 0
-    parts = [_dictionary([t for t, v, b in zip(texts, y, build, strict=True) if b and v == c]) for c in (1, 0)]
-    rest = [i for i in range(len(y)) if not build[i]] or list(range(len(y)))
-    if len(set(y[rest])) < 2:
-        rest = list(range(len(y)))
-    sizer = Sizer(*parts)
-    seen = np.array([sizer.measure(texts[i]) for i in rest])
-    usual = float(np.median(seen[y[rest] == 1, 1])) if (y[rest] == 1).any() else 1.0
-    x = np.column_stack([seen[:, 0] * 100, [repetition(r, usual) for r in seen[:, 1]]])
-    have = np.array([max(1, (y[rest] == c).sum()) for c in (0, 1)])
-    w = np.array([counts[c] / have[c] for c in y[rest]])
-    *slopes, bias = map(float, logistic(x, y[rest], w))
-    return Compression(parts[0], parts[1], (100 * slopes[0], slopes[1]), bias, usual)
-
-
-def _rank(y: np.ndarray) -> np.ndarray:
-    out = np.zeros(len(y), int)
-    for c in (0, 1):
-        out[y == c] = np.arange((y == c).sum())
-    return out
+    # with a class that one of the two would lack, all rows serve for both
+    apart = all((y, c) in have for y in (0, 1) for c in (True, False))
+    build, curve = (sample.where("part <> 0"), sample.where("part = 0")) if apart else (sample, sample)
+    cut = F.pandas_udf(lambda texts: texts.map(lambda t: pieces(bytes(t))), "array<binary>")
+    # at most 2 * per_class rows of PIECES pieces come to the driver
+    got = sorted((r["y"], r["doc_id"], list(map(bytes, r["p"]))) for r in build.select("y", "doc_id", cut("t").alias("p")).collect())
+    good, bad = (_dictionary([p for y, _, ps in got if y == c for p in ps]) for c in (1, 0))
+    # two numbers of each whole text return
+    seen = sorted((r["doc_id"], r["y"], r["m"]["whole"], r["m"]["worst"]) for r in curve.select("doc_id", "y", _measured(good, bad)("t").alias("m")).collect())
+    y = np.array([r[1] for r in seen])
+    x = np.array([r[2:] for r in seen]) * 100
+    w = np.array([counts[c] / (y == c).sum() for c in y])
+    *slopes, bias = map(float, logistic(x, y, w))
+    return Compression(good, bad, (100 * slopes[0], 100 * slopes[1]), bias)
+
+
+def _measured(good: bytes, bad: bytes):
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        sizer = Sizer(good, bad)
+        for texts in batches:
+            yield pd.DataFrame([sizer.measure(bytes(t)) for t in texts], columns=["whole", "worst"], dtype="float64")
+
+    return F.pandas_udf(run, "whole double, worst double")
 
 
 def scorer(model: Compression):

@@ -128,3 +128,27 @@ def test_trigram_counts_do_not_depend_on_the_step(monkeypatch):
     assert whole.sum() > 1000
     monkeypatch.setattr(langid, "STEP", 1 << 22)
     assert (langid.counts(text) == whole).all()
+
+
+def test_quality_score_is_its_sizes_by_brute_force(spark):
+    import zstandard
+
+    docs, labels = labelled(spark, 200)
+    model = quality.fit(docs, labels)
+    tools = [zstandard.ZstdCompressor(level=quality.LEVEL, dict_data=zstandard.ZstdCompressionDict(d), write_checksum=False, write_content_size=False, write_dict_id=False) for d in (model.good, model.bad)]
+    texts = {r["doc_id"]: (r["text"] or "").encode() for r in docs.collect()}
+    for r in quality.score(docs, model).collect():
+        t = texts[r["doc_id"]]
+        pairs = [tuple(len(c.compress(t[i : i + 256])) for c in tools) for i in range(0, len(t), 256)]
+        whole = (sum(b for _, b in pairs) - sum(a for a, _ in pairs)) / (sum(a + b for a, b in pairs) + 16)
+        each = sorted((b - a) / (a + b + 32) for a, b in pairs)
+        at = 0.1 * (len(each) - 1)
+        worst = each[int(at)] + (at - int(at)) * (each[min(int(at) + 1, len(each) - 1)] - each[int(at)])
+        assert r["score"] == pytest.approx(1 / (1 + math.exp(-(model.slopes[0] * whole + model.slopes[1] * worst + model.bias))), abs=1e-9)
+
+
+def test_pieces_are_spread_over_the_text():
+    short, long = b"x" * 3000, bytes(range(256)) * 400
+    assert b"".join(quality.pieces(short)) == short
+    got = quality.pieces(long)
+    assert len(got) == quality.PIECES and got[0] == long[:1024] and got[-1] == long[-1024:]
