@@ -10,7 +10,9 @@ from the token scores there; a document's significant segments are joined by
 their sum statistic, and a logistic curve turns its exponent into a score.
 
 Bounds: at most ``PER_CLASS`` labelled documents of each class are read for the
-fit, and ``LEXICON`` features are kept. Scoring reads whole texts.
+fit; every significant feature of them is kept. Scoring reads whole texts.
+Labelled near copies, told by two least checksums of word runs, share one
+document's weight, so none is lost and none counts again and again.
 
 Defined cases: a null or empty text has no segment and the curve's value at 0;
 without labels of both classes every score is the share of toxic labels.
@@ -21,19 +23,17 @@ from __future__ import annotations
 
 import math
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from nasij.llm.common import Written, held_out, label_counts, label_sample, logistic, ready, text_bytes
 
 PER_CLASS = 2000
-LEXICON = 20_000
 #: A feature must be in this many documents, and its z-value and log-odds above
 #: these: words that are only a little commoner in toxic text tell nothing.
 LEAST_DOCS, LEAST_Z, LEAST_ODDS = 3, 2.4, 2.0
@@ -136,21 +136,24 @@ def calibrated(model: Lexicon, exponent: float) -> float:
 
 
 def _sketch(texts: pd.Series) -> pd.Series:
-    """The least checksum of four words in a row: near copies mostly share it."""
+    """The two least checksums of four words in a row: near copies mostly share
+    both, and texts that share a line seldom do."""
 
     def least(text: str) -> int:
         w = text.encode("utf-8", "replace").lower().split()
-        return min((zlib.crc32(b" ".join(w[i : i + 4])) for i in range(max(1, len(w) - 3))), default=0)
+        seen = sorted({zlib.crc32(b" ".join(w[i : i + 4])) for i in range(max(1, len(w) - 3))})[:2]
+        return seen[0] << 31 ^ seen[-1]
 
     return texts.map(least)
 
 
 def _counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Documents of each class that have a feature, in this task's rows."""
-    seen: Counter = Counter()
+    """Weight of each class's documents that have a feature, in this task's rows."""
+    seen: dict = {}
     for rows in batches:
-        for text, y in zip(rows["text"], rows["y"], strict=True):
-            seen.update((f, int(y)) for f in {f for t in set(text.lower().split()) for f in features(t)})
+        for text, y, w in zip(rows["text"], rows["y"], rows["w"], strict=True):
+            for f in {f for t in set(text.lower().split()) for f in features(t)}:
+                seen[f, int(y)] = seen.get((f, int(y)), 0.0) + w
     rows = list(seen.items())
     yield pd.DataFrame({"f": [k[0] for k, _ in rows], "y": [k[1] for k, _ in rows], "n": [n for _, n in rows]})
 
@@ -164,45 +167,49 @@ def fit(docs: DataFrame, labels: DataFrame, column: str = "toxic", per_class: in
         return Lexicon(bias=math.log(share / (1 - share)))
     chosen = label_sample(labels, column, per_class)
     sample = docs.select("doc_id", "text").where(F.col("text").isNotNull()).join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
-    # copies, near ones too, would count one text's words again and again
-    sample = Written(sample.withColumn("_t", F.pandas_udf(_sketch, "long")("text")).dropDuplicates(["_t", "y"]).drop("_t"), "toxic-sample")
-    by_class = {0: 0, 1: 0} | {r["y"]: r["count"] for r in sample.df.groupBy("y").count().collect()}
+    # at most 2 * per_class rows: the window's groups are bounded
+    copies = F.count(F.lit(1)).over(Window.partitionBy("y", F.col("_t")))
+    sketched = sample.select("doc_id", "text", "y", F.pandas_udf(_sketch, "long")("text").alias("_t"))
+    sample = Written(sketched.select("doc_id", "text", "y", (1.0 / copies).alias("w")), "toxic-sample")
+    by_class = {0: 0.0, 1: 0.0} | {r["y"]: r["w"] for r in sample.df.groupBy("y").agg(F.sum("w").alias("w")).collect()}
     if not by_class[0] or not by_class[1]:
         sample.drop()
         return Lexicon(bias=math.log(0.05 / 0.95))
     n0, n1 = by_class[0], by_class[1]
-    seen = sample.df.select("text", "y").mapInPandas(_counts, "f string, y int, n long").groupBy("f").agg(
+    seen = sample.df.select("text", "y", "w").mapInPandas(_counts, "f string, y int, n double").groupBy("f").agg(
         F.sum(F.when(F.col("y") == 1, F.col("n")).otherwise(0)).alias("a"), F.sum(F.when(F.col("y") == 0, F.col("n")).otherwise(0)).alias("b")
     )
     p = (F.col("a") + F.col("b")) / F.lit(float(n0 + n1))
     a, b = F.col("a") + PRIOR * p + FLOOR, F.col("b") + PRIOR * p + FLOOR
     odds = F.log(a / (n1 + PRIOR + 2 * FLOOR - a)) - F.log(b / (n0 + PRIOR + 2 * FLOOR - b))
     z = odds / F.sqrt(1 / a + 1 / b)
-    kept = seen.where(F.col("a") + F.col("b") >= LEAST_DOCS).select("f", odds.alias("s"), z.alias("z")).where((F.col("z") >= LEAST_Z) & (F.col("s") >= LEAST_ODDS)).orderBy(F.desc("z"), "f").limit(LEXICON)
+    kept = seen.where(F.col("a") + F.col("b") >= LEAST_DOCS).select("f", odds.alias("s"), z.alias("z")).where((F.col("z") >= LEAST_Z) & (F.col("s") >= LEAST_ODDS))
     model = Lexicon({r["f"]: r["s"] for r in kept.collect() if r["s"] > 0})
     # one row for each sampled document: its tokens' scores, then its evidence
-    clean = sample.df.where("y = 0").select("text").mapInPandas(_levels(model), "s double, n long").groupBy("s").agg(F.sum("n").alias("n")).collect()
+    clean = sample.df.where("y = 0").select("text", "w").mapInPandas(_levels(model), "s double, n double").groupBy("s").agg(F.sum("n").alias("n")).collect()
     model = extreme_values(model, {r["s"]: r["n"] for r in clean})
-    seen = sample.df.select("y", _exponents(model)(text_bytes(F.col("text"))).alias("x")).collect()
+    seen = sorted((r["doc_id"], r["y"], r["w"], r["x"]) for r in sample.df.select("doc_id", "y", "w", _exponents(model)(text_bytes(F.col("text"))).alias("x")).collect())
     sample.drop()
-    x, y = np.log1p([r["x"] for r in seen]), np.array([r["y"] for r in seen])
-    w = np.array([counts[c] / by_class[c] for c in y])
+    x, y = np.log1p([r[3] for r in seen]), np.array([r[1] for r in seen])
+    w = np.array([counts[r[1]] / by_class[r[1]] * r[2] for r in seen])
     slope, bias = logistic(x[:, None], y, w, ridge=0.02)
     return Lexicon(model.scores, model.lam, model.k, max(float(slope), 0.0), float(bias))
 
 
 def _levels(model: Lexicon):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cache, seen = TokenScores(model.scores), Counter()
+        cache, seen = TokenScores(model.scores), {}
         for rows in batches:
-            for text in rows["text"]:
-                seen.update(cache[t] for t in text.lower().split())
+            for text, w in zip(rows["text"], rows["w"], strict=True):
+                for t in text.lower().split():
+                    s = cache[t]
+                    seen[s] = seen.get(s, 0.0) + w
         yield pd.DataFrame({"s": list(seen), "n": list(seen.values())}, columns=["s", "n"])
 
     return run
 
 
-def extreme_values(model: Lexicon, levels: dict[float, int]) -> Lexicon:
+def extreme_values(model: Lexicon, levels: dict[float, float]) -> Lexicon:
     """The law's lambda and K from how often clean tokens have each score."""
     total = sum(levels.values()) + 1
     positive = {s: n for s, n in levels.items() if s > 0}

@@ -152,3 +152,50 @@ def test_pieces_are_spread_over_the_text():
     assert b"".join(quality.pieces(short)) == short
     got = quality.pieces(long)
     assert len(got) == quality.PIECES and got[0] == long[:1024] and got[-1] == long[-1024:]
+
+
+def _best_runs(scores, base=0):
+    """Maximal segments by their definition: the best run, then left and right of it."""
+    best, at = 0.0, None
+    for a in range(len(scores)):
+        total = 0.0
+        for b in range(a, len(scores)):
+            total += scores[b]
+            if total > best + 1e-12:
+                best, at = total, (a, b + 1)
+    if at is None:
+        return []
+    a, b = at
+    return _best_runs(scores[:a], base) + [(base + a, base + b, best)] + _best_runs(scores[b:], base + b)
+
+
+def test_toxicity_score_by_brute_force(spark):
+    docs, labels = labelled(spark, 200)
+    model = toxicity.fit(docs, labels)
+    assert model.scores and model.slope > 0
+    rows = {r["doc_id"]: r["score"] for r in toxicity.score(docs, model).collect()}
+    for i, text in [(r["doc_id"], r["text"]) for r in docs.collect()][:80]:
+        tokens, scores = text.lower().split(), []
+        for t in tokens:
+            word = t.strip(toxicity.STRIP)
+            hits = [model.scores[f] for f in ("=" + word, "^" + word[:4], "^" + word[:5]) if f in model.scores and len(f) - 1 in (len(word), 4, 5)]
+            scores.append(max(hits, key=abs) if hits else -0.5)
+        n, exponent = len(tokens), 0.0
+        sums = sorted((s for _, _, s in _best_runs(scores) if model.k * n * math.exp(-model.lam * s) <= 0.05), reverse=True)
+        normal = [model.lam * s - math.log(model.k * n) for s in sums]
+        for r in range(1, len(normal) + 1):
+            t = sum(normal[:r])
+            if min(normal[:r]) > 0 and t > 0:
+                exponent = max(exponent, t - (r - 1) * math.log(max(t, 1.0)) + math.log(math.factorial(r)))
+        assert rows[i] == pytest.approx(1 / (1 + math.exp(-(model.slope * math.log(1 + exponent) + model.bias))), abs=1e-9)
+
+
+def test_texts_that_share_a_line_all_count(spark):
+    """Near copies weigh as one document, texts with one line in common as many."""
+    line = "all rights reserved by the owners of this text and of all others"
+    copies = [f"{line} " + " ".join(f"copy{j}" for j in range(60)) + f" end{i}" for i in range(4)]
+    apart = [f"{line} " + cases.prose(i, 60) for i in range(4)]
+    import pandas as pd
+
+    got = toxicity._sketch(pd.Series(copies + apart)).tolist()
+    assert len(set(got[:4])) <= 2 and len(set(got[4:])) == 4
