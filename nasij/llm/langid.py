@@ -5,11 +5,14 @@ spaces, and all that is neither a letter nor a mark counts as space) in
 ``DIMS`` hashed places, damped, weighted by inverse document frequency and
 normalised. Each language has up to ``CENTROIDS`` centroids, clustered on the
 sphere. A text takes the language of the centroid with the largest cosine, and
-is rejected if even that is lower than nearly all training texts of its length
-have.
+is rejected if even that is lower than nearly all training text of its length
+has. Training text of a length is whole texts, and runs of letters from places
+spread over them, so that short texts are judged by short ones.
 
 Bounds: at most ``PER_LANG`` labelled documents of a language are read for the
-fit. Scoring reads whole texts.
+fit, and ``RUNS`` runs of each of four lengths for the rejection. Centroids are
+fitted on whole texts, and scoring reads whole texts. The centroids go to all executors: some 66 KB a
+language.
 
 Defined cases: a text that is null or has no letter is ``und`` with score 0 and
 rejected; without training documents every text is. Ties go to the language
@@ -20,7 +23,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -28,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from nasij.llm.common import fold, held_out, ready
+from nasij.llm.common import Written, fold, held_out, ready
 
 PER_LANG = 300
 DIMS = 4096
@@ -37,6 +40,8 @@ SEED = 7
 #: Share of training texts of a length that may lie below its least cosine, and
 #: how far below that a text must be to go.
 QUANTILE, SLACK = 0.002, 0.8
+#: Steps in which cosines are counted, and runs of a length from one text.
+STEPS, RUNS = 1000, 5
 UNKNOWN = "und"
 #: Bytes of a text that are counted at a time.
 STEP = 1 << 20
@@ -106,12 +111,19 @@ def fit(docs: DataFrame, per_lang: int = PER_LANG) -> Centroids:
     # language then come as counts
     near = rows.select("doc_id", "lang", F.xxhash64("doc_id", F.lit(SEED)).alias("h"))
     best = near.withColumn("r", F.row_number().over(Window.partitionBy("lang", F.pmod("h", F.lit(16))).orderBy("h", "doc_id"))).where(F.col("r") <= -(-per_lang // 16))
-    make = F.pandas_udf(_sample, "array<binary>")
-    got = rows.join(F.broadcast(best.select("doc_id", "lang").distinct()), ["doc_id", "lang"]).dropDuplicates(["doc_id"]).select("doc_id", "lang", make("text").alias("c")).collect()
-    got = sorted((r["lang"], r["doc_id"], [zlib.decompress(p) for p in r["c"]]) for r in got if r["c"])
+    sample = Written(rows.join(F.broadcast(best.select("doc_id", "lang").distinct()), ["doc_id", "lang"]).dropDuplicates(["doc_id"]), "lang-sample")
+    try:
+        return _fitted(sample.df)
+    finally:
+        sample.drop()
+
+
+def _fitted(sample: DataFrame) -> Centroids:
+    got = sample.select("doc_id", "lang", F.pandas_udf(_sample, "binary")("text").alias("c")).where("c is not null").collect()
+    got = sorted((r["lang"], r["doc_id"], zlib.decompress(r["c"])) for r in got)
     if not got:
         return Centroids((), np.zeros(0, int), np.zeros((0, DIMS)), np.zeros(DIMS), np.zeros(32))
-    full = np.stack([np.frombuffer(c[0], np.uint16) for _, _, c in got])
+    full = np.stack([np.frombuffer(c, np.uint32) for _, _, c in got])
     idf = (np.log((1 + len(full)) / (1 + (full > 0).sum(axis=0))) + 1).astype(np.float32)
     langs, x, rng = tuple(sorted({g[0] for g in got})), weighted(full.astype(np.float32), idf), np.random.default_rng(SEED)
     owner, vectors = [], []
@@ -120,30 +132,49 @@ def fit(docs: DataFrame, per_lang: int = PER_LANG) -> Centroids:
         owner += [i] * len(c)
         vectors.append(c)
     owner, vectors = np.array(owner), np.concatenate(vectors)
-    # cosines of whole texts and of their short beginnings, by length
-    cos, size = [], []
-    for lang, _, c in got:
-        part = np.stack([np.frombuffer(p, np.uint16) for p in c]).astype(np.float32)
-        cos.append((weighted(part, idf) @ vectors[owner == langs.index(lang)].T).max(axis=1))
-        size.append(part.sum(axis=1))
-    cos, size, least = np.concatenate(cos), _bucket(np.concatenate(size)), np.zeros(32)
+    model = Centroids(langs, owner, vectors.astype(np.float32), idf.astype(np.float32), np.zeros(32))
+    # how many runs of each length have each cosine: STEPS * 32 rows at most
+    seen = sample.select("text", "lang").mapInPandas(_cosines(model), "size int, step int, n long").groupBy("size", "step").agg(F.sum("n").alias("n")).collect()
+    table, least = np.zeros((34, STEPS + 1)), np.zeros(32)
+    for r in seen:
+        table[r["size"] + 1, r["step"]] = r["n"]
     for b in range(32):
-        near_b = cos[np.abs(size - b) <= 1]
-        least[b] = SLACK * np.quantile(near_b, QUANTILE) if len(near_b) >= 20 else (least[b - 1] if b else 0.0)
+        near = np.cumsum(table[b : b + 3].sum(axis=0))
+        least[b] = SLACK * np.searchsorted(near, max(QUANTILE * near[-1], 0.5)) / STEPS if near[-1] >= 20 else (least[b - 1] if b else 0.0)
     # a longer text is never asked for less than a shorter one's least
-    return Centroids(langs, owner, vectors.astype(np.float32), idf.astype(np.float32), np.maximum.accumulate(least))
+    return replace(model, least=np.maximum.accumulate(least))
 
 
 def _sample(texts: pd.Series) -> pd.Series:
-    """Counts of each text and of its first 8, 32, 128 ... letters."""
-
-    def one(text: str):
-        if not has_letter(text):
-            return []
-        cuts = [text, *(text[:n] for n in (8, 16, 32, 64, 128, 256, 512) if n < len(text) and has_letter(text[:n]))]
-        return [zlib.compress(np.minimum(counts(t), 65535).astype(np.uint16).tobytes(), 1) for t in cuts]
-
-    return texts.map(one)
+    return texts.map(lambda t: zlib.compress(np.minimum(counts(t), 2**32 - 1).astype(np.uint32).tobytes(), 1) if has_letter(t) else None)
+
+
+def runs(text: str) -> Iterator[str]:
+    """The text, and RUNS runs of 8, 32, 128 and 512 letters spread over it."""
+    yield text
+    for n in (8, 32, 128, 512):
+        if n < len(text):
+            yield from (text[i : i + n] for i in np.unique(np.linspace(0, len(text) - n, RUNS).astype(int)))
+
+
+def _cosines(model: Centroids):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen: dict = {}
+        own = {lang: model.vectors[model.owner == i].T for i, lang in enumerate(model.langs)}
+        for rows in batches:
+            for text, lang in zip(rows["text"], rows["lang"], strict=True):
+                if lang not in own:
+                    continue
+                for part in filter(has_letter, runs(text)):
+                    c = counts(part)
+                    at = np.flatnonzero(c)
+                    v = np.log1p(c[at]) * model.idf[at]
+                    cos = float((v @ own[lang][at]).max() / max(float(np.sqrt((v * v).sum())), 1e-12))
+                    key = int(_bucket(int(c.sum()))), int(min(max(cos, 0.0), 1.0) * STEPS)
+                    seen[key] = seen.get(key, 0) + 1
+        yield pd.DataFrame([(*k, n) for k, n in seen.items()], columns=["size", "step", "n"])
+
+    return run
 
 
 def judge(model: Centroids, texts: list) -> list[tuple[str, float, bool]]:

@@ -199,3 +199,35 @@ def test_texts_that_share_a_line_all_count(spark):
 
     got = toxicity._sketch(pd.Series(copies + apart)).tolist()
     assert len(set(got[:4])) <= 2 and len(set(got[4:])) == 4
+
+
+def test_language_is_the_nearest_centroid_by_brute_force(spark):
+    docs = cases.corpus(spark)
+    model = langid.fit(docs)
+    rows = {r["doc_id"]: r for r in langid.predict(docs, model).collect()}
+    for i, text in [(r["doc_id"], r["text"]) for r in docs.collect()][:60]:
+        raw = (" " + text.lower() + " ").encode()
+        kept = bytes(b if 97 <= b < 123 or b >= 128 else 32 for b in raw)
+        while b"  " in kept:
+            kept = kept.replace(b"  ", b" ")
+        seen = {}
+        for a, b, c in zip(kept, kept[1:], kept[2:], strict=False):
+            h = (a * 0x9E3779B1 + b * 0x85EBCA77 + c * 0xC2B2AE3D) % 2**32
+            h ^= h >> 15
+            h = h * 0x27D4EB2F % 2**32 >> 20
+            seen[h] = seen.get(h, 0) + 1
+        v = {k: math.log(1 + n) * float(model.idf[k]) for k, n in seen.items()}
+        norm = math.sqrt(sum(x * x for x in v.values()))
+        cosines = [sum(x * float(c[k]) for k, x in v.items()) / norm for c in model.vectors]
+        best = max(cosines)
+        assert rows[i]["score"] == pytest.approx(best, abs=1e-5)
+        near = {model.langs[o] for o, c in zip(model.owner, cosines, strict=True) if c > best - 1e-5}
+        assert rows[i]["lang_pred"] in near
+
+
+def test_runs_are_spread_over_the_whole_text():
+    text = cases.prose(2, 300)
+    got = list(langid.runs(text))
+    assert got[0] == text and text.endswith(got[-1])
+    assert all(x in text for x in got) and {len(x) for x in got[1:]} == {8, 32, 128, 512}
+    assert list(langid.runs("short")) == ["short"]
