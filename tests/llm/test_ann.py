@@ -1,4 +1,7 @@
+import os
+
 import numpy as np
+import pytest
 from nasij.llm import ann
 
 SCHEMA = "vec_id long, embedding array<float>, label int, score double, code string"
@@ -85,3 +88,36 @@ def test_beam_search_beats_one_path():
     for c in books.words:
         left -= c[((left @ c.T) - 0.5 * (c * c).sum(axis=1)).argmax(axis=1)]
     assert ((x - sums) ** 2).sum() < (left**2).sum()
+
+
+def test_an_id_with_two_vectors_is_two_rows(spark):
+    a, b, c = [1.0, 0.0], [0.8, 0.6], [0.0, 1.0]
+    rows = ann.search(table(spark, [(0, a), (0, b), (0, a), (7, c)]), 50, 5).collect()
+    assert len(rows) == 4 and {(r["query_id"], r["rank"]) for r in rows} == {(0, 1), (0, 2)}
+    assert sorted((r["vec_id"], round(r["score"], 6)) for r in rows) == [(0, 0.8), (0, 0.8), (7, 0.0), (7, 0.6)]
+
+
+def test_blocks_do_not_change_the_result(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(900, 16)).astype(np.float32)
+    t = table(spark, [(i, v.tolist()) for i, v in enumerate(x)])
+    want = {tuple(r)[:3] for r in ann.search(t, 50, 5).collect()}
+    monkeypatch.setattr(ann, "BLOCK", 20)
+    monkeypatch.setattr(ann, "QUERIES", 3)
+    monkeypatch.setattr(ann, "STEP", 40)
+    got = {tuple(r)[:3] for r in ann.search(t, 50, 5).collect()}
+    exact = brute([(i, v.tolist()) for i, v in enumerate(x)], 50, 5)
+    # smaller blocks rank more codes exactly
+    assert sum(v in [i for i, _ in exact[q]] for q, _, v in got) >= sum(v in [i for i, _ in exact[q]] for q, _, v in want) >= 0.95 * len(want)
+
+
+def test_recall_on_the_given_vectors(spark):
+    folder = "/root/testdata/sf0.1/embeddings.parquet"
+    if not os.path.exists(folder):
+        pytest.skip("no vectors here")
+    vectors = spark.read.parquet(folder).select("vec_id", "embedding")
+    want = brute([(r["vec_id"], r["embedding"]) for r in vectors.collect()], 50, 5)
+    got = {}
+    for r in ann.search(vectors, 50, 5).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    assert sum(len(got[q] & {i for i, _ in v}) for q, v in want.items()) >= 0.95 * 5 * len(want)
