@@ -58,9 +58,12 @@ class Written:
         path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def materialize(df: DataFrame, tag: str) -> DataFrame:
-    """Cuts the lineage with a written table; survives lost executors."""
-    return Written(df, tag).df
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that the table does not have."""
+    taken = {c.lower() for c in df.columns}
+    while f"_{name}" in taken:
+        name = f"_{name}"
+    return f"_{name}"
 
 
 def fold(doc_id: Column) -> Column:

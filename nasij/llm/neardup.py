@@ -2,10 +2,14 @@
 
 Documents become sets of word shingles. Equal sets form a class at once. The
 classes' minhashes stand for their tokens: each of ``TREES`` independent trees
-sends a class to the node of one chosen minhash; a node that is still too large
-branches again by ``BRANCH`` minhashes chosen for it; a small node is compared
-exhaustively on sketches. At similarity 0.8 a pair misses all trees with a
-chance of about 0.2 ** TREES.
+sends a class to the node of one chosen minhash; a node of more than ``NODE``
+classes branches again by ``BRANCH`` minhashes chosen for it, as deep as
+``DEPTH``; a small node is compared exhaustively on sketches. A node that keeps
+more than half of its parent's classes does not get smaller by branching (a
+group of near copies shares nearly all minhashes): it is dealt to blocks, and
+every two blocks meet. At similarity 0.8 a pair stays together in a tree of d
+levels with a chance of 0.8 * 0.96 ** (d - 1), so it misses all nine trees with
+one below 4e-5, and fails its sketch with one of about 1e-5.
 
 Sketch links only gather classes into clusters, by connected components. Inside
 a cluster links are confirmed on full sets: a class looks at all that are not
@@ -29,15 +33,15 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nasij.llm.common import Written, ready, text_bytes
+from nasij.llm.common import Written, fresh, ready, text_bytes
 from nasij.llm.graph import connected_components
 from nasij.llm.shingles import Minhash, shingle_set
 
-TREES, BRANCH, DEPTH = 9, 3, 3
+TREES, BRANCH, DEPTH = 9, 2, 5
 #: Minhashes: so many serve as paths, and one byte of each as the sketch.
 PATHS, SKETCH = 32, 64
 #: Largest node that is compared at once; shingles of a block of a cluster.
-NODE, BLOCK = 4096, 4_000_000
+NODE, BLOCK = 512, 4_000_000
 #: How far below the threshold a sketch may be: over four standard deviations.
 MARGIN = 0.22
 
@@ -161,26 +165,27 @@ def candidate_links(reps: DataFrame, threshold: float) -> DataFrame:
     """(a, b): sketch links that join whatever meets in some tree's node."""
     least = threshold - MARGIN
     trees = F.explode(F.array(*[F.xxhash64(F.lit(t), _u32(F.col("paths"), t)) for t in range(TREES)]))
-    level, found = Written(reps.select("rep", trees.alias("node")), "tree"), []
+    whole = reps.count()
+    level, found = Written(reps.select("rep", trees.alias("node"), F.lit(whole).cast("long").alias("above")), "tree"), []
     for depth in range(DEPTH):
         sizes = level.df.groupBy("node").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
         met = Written(level.df.join(sizes, "node"), "met")
         level.drop()
-        full = met.df.join(reps, "rep")
-        found.append(grouped(full.where(F.col("c") <= NODE).select("node", "rep", "sketch"), "node", _sketch_links(least), "a long, b long"))
-        large = met.df.where(F.col("c") > NODE)
-        if not large.limit(1).count():
-            break
-        full = large.join(reps, "rep")
-        if depth == DEPTH - 1:
-            parts = _blocks(full.select("node", "rep", "sketch", "c"), "node", F.ceil(F.col("c") / NODE).cast("long"))
+        large = F.col("c") > NODE
+        dense = large & (F.lit(depth == DEPTH - 1) | (F.col("c") * 2 > F.col("above")))
+        full = met.df.join(reps, "rep").select("node", "rep", "sketch", "c", dense.alias("dense"), large.alias("large"))
+        found.append(grouped(full.where("not large").select("node", "rep", "sketch"), "node", _sketch_links(least), "a long, b long"))
+        more = met.df.agg(F.coalesce(F.bool_or(dense), F.lit(False)), F.coalesce(F.bool_or(large & ~dense), F.lit(False))).first()
+        if more[0]:
+            parts = _blocks(full.where("dense").select("node", "rep", "sketch", "c"), "node", F.ceil(F.col("c") * 2 / NODE).cast("long"))
             found.append(grouped(parts.select("node", "rep", "sketch"), "node", _sketch_links(least), "a long, b long"))
-        else:
-            # the node's own choice of minhashes that no tree begins with
-            step = (PATHS - TREES) // BRANCH
-            own = [F.pmod(F.xxhash64("node", F.lit(j)), F.lit(step)) + F.lit(TREES + j * step) for j in range(BRANCH)]
-            child = F.explode(F.array(*[F.xxhash64("node", F.lit(j), F.hex(F.substring(F.col("paths"), (c * 4 + 1).cast("int"), F.lit(4)))) for j, c in enumerate(own)]))
-            level = Written(full.select("rep", child.alias("node")), "tree")
+        if not more[1]:
+            break
+        # the node's own choice of minhashes that no tree begins with
+        step = (PATHS - TREES) // BRANCH
+        own = [F.pmod(F.xxhash64("node", F.lit(j)), F.lit(step)) + F.lit(TREES + j * step) for j in range(BRANCH)]
+        child = F.explode(F.array(*[F.xxhash64("node", F.lit(j), F.hex(F.substring(F.col("paths"), (c * 4 + 1).cast("int"), F.lit(4)))) for j, c in enumerate(own)]))
+        level = Written(met.df.where(large & ~dense).join(reps, "rep").select("rep", child.alias("node"), F.col("c").alias("above")), "tree")
     links = found[0]
     for more in found[1:]:
         links = links.unionByName(more)
@@ -204,7 +209,9 @@ def components(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) ->
     texts = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("rep"), text_bytes(F.col("text")).alias("t"))
     needed = names.select("rep", "cluster").distinct()
     sets = texts.join(needed.hint("shuffle_hash"), "rep").select("rep", "cluster", make("t").alias("m")).select("rep", "cluster", "m.*")
-    sets = Written(sets.where("k1 is not null"), "sets").df
+    # tested after the writing: a test before it would be pushed below the join,
+    # and make every text's set there
+    sets = Written(sets, "sets").df.where("k1 is not null")
     weight = sets.groupBy("cluster").agg(F.ceil(F.sum(F.length("set") / 8) / BLOCK).cast("long").alias("blocks"))
     met = _blocks(sets.select("rep", "cluster", "set").join(weight, "cluster"), "cluster", F.col("blocks"))
     confirmed = grouped(met.select("cluster", "rep", "set"), "cluster", _set_links(num, den), "a long, b long")
@@ -236,16 +243,16 @@ def _sets(size: int):
 def deduplicated(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """One row of each group of near copies, in the input's columns.
 
-    The row of the smallest id stays, once even if its id is repeated. Rows
-    without an id all stay.
+    The row of the smallest id stays, before rows without one. Rows are told
+    apart by a number of their own, so copies without an id or with a repeated
+    one are compared as well; rows without words all stay. A text that is null
+    has no words. Empty input gives an empty result.
     """
-    found = Written(components(docs, size, num, den).where("doc_id is not null"), "kept").df
-    # an id that two texts share is dropped only if every row of it is
-    ids = found.groupBy("doc_id").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("c"))
-    odd = Written(ids.where("not kept or c > 1").select(F.col("doc_id").alias("_odd"), "kept"), "odd").df
-    same = F.col("doc_id") == F.col("_odd")
-    rows = docs.join(odd.select("_odd"), same, "left_anti")
-    repeated = odd.where("kept").select("_odd")
-    if repeated.limit(1).count():
-        rows = rows.unionByName(docs.join(repeated, same, "left_semi").dropDuplicates(["doc_id"]))
-    return rows
+    row, doc_id = fresh(docs, "row"), fresh(docs, "id")
+    # the rows' own numbers are stable once written
+    rows = Written(docs.withColumn(row, F.monotonically_increasing_id()), "dedup-rows").df
+    found = components(rows.select(F.col(row).alias("doc_id"), "text"), size, num, den)
+    found = found.select(F.col("doc_id").alias(row), "component_id").join(rows.select(row, F.col("doc_id").alias(doc_id)), row)
+    best = found.groupBy("component_id").agg(F.min(F.struct(F.col(doc_id).isNull().alias("bare"), F.col(doc_id).alias("id"), F.col(row).alias("row"))).alias("best"))
+    kept = Written(best.select(F.col("best.row").alias(row)), "kept").df
+    return rows.join(kept, row, "left_semi").select(*[rows[c] for c in docs.columns])

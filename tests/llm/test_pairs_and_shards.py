@@ -70,6 +70,74 @@ def test_large_nodes_and_clusters_are_split_without_loss(spark, monkeypatch):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in neardup.components(docs, size=4).collect()} == want
 
 
+def test_copies_without_an_id_are_removed(spark):
+    docs = cases.corpus(spark, 20)
+    bare = docs.selectExpr("cast(null as long) as doc_id", *[c for c in docs.columns if c != "doc_id"])
+    both = docs.unionByName(bare).unionByName(bare)
+    clash = both.withColumn("_row", both["size"]).withColumn("_id", both["rep"])
+    got = neardup.deduplicated(clash, size=4)
+    assert got.columns == clash.columns
+    want = brute([(r["doc_id"], r["text"]) for r in docs.collect()])
+    rows = got.collect()
+    assert sorted(r["doc_id"] for r in rows) == sorted(k for k, v in want.items() if v[1] == k)
+    assert all(r["_row"] == 2 and r["_id"] == "r" for r in rows)
+    alone = neardup.deduplicated(bare.unionByName(bare), size=4)
+    assert alone.count() == len(rows)
+
+
+def _links(rows, k=4):
+    """Components over an inverted index: every pair with a shingle in common."""
+    sets = {i: shingles(t, k) for i, t in rows}
+    by, root = defaultdict(list), {i: i for i in sets}
+    for i, s in sets.items():
+        for x in s:
+            by[x].append(i)
+
+    def find(x):
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    for i in sorted(sets):
+        met = defaultdict(int)
+        for x in sets[i]:
+            for j in by[x]:
+                if j < i:
+                    met[j] += 1
+        for j, n in met.items():
+            if 100 * n >= 80 * (len(sets[i]) + len(sets[j]) - n):
+                p, q = sorted((find(i), find(j)))
+                root[q] = p
+    return {i: find(i) for i in sets}
+
+
+def test_all_links_at_the_threshold_are_found_among_many(spark):
+    """Over 5,000 documents; near copies at similarity 0.80, 0.86 and 0.93."""
+    rows = []
+    for i in range(1300):
+        w = cases.prose(i, 30).split()
+        rows += [(4 * i, " ".join(w))] + [(4 * i + k, " ".join([*w[: 30 - k], f"new{i}", *w[31 - k :]])) for k in (1, 2, 3)]
+    want = _links(rows)
+    got = {r["doc_id"]: r["component_id"] for r in neardup.components(spark.createDataFrame(rows, "doc_id long, text string"), size=4).collect()}
+    assert got == want and len(set(want.values())) < len(rows) / 2
+
+
+def test_sets_are_made_once_for_each_clustered_text(spark, monkeypatch):
+    """No Python function runs below a join on the documents' texts."""
+    plans = []
+
+    class Spy(neardup.Written):
+        def __init__(self, df, tag):
+            plans.append((tag, df._jdf.queryExecution().optimizedPlan().toString()))
+            super().__init__(df, tag)
+
+    monkeypatch.setattr(neardup, "Written", Spy)
+    neardup.components(cases.corpus(spark, 20), size=4).count()
+    plan = dict(plans)["sets"]
+    assert plan.count("ArrowEvalPython") == 1 and plan.index("ArrowEvalPython") < plan.index("Join")
+
+
 def test_components_of_paths_stars_and_rings(spark):
     edges = [(i, i + 1) for i in range(30)] + [(100, i) for i in range(101, 140)] + [(200, 201), (201, 202), (202, 200), (5, 5), (None, 3), (201, 200)]
     got = {r["node"]: r["component"] for r in graph.connected_components(spark.createDataFrame(edges, "a long, b long"), "a", "b").collect()}
