@@ -19,12 +19,14 @@ ARROW_ROWS = 256
 def ready(spark: SparkSession) -> SparkSession:
     """Lets Python workers import this package and keeps their batches small.
 
-    Text batches are bounded by rows; a worker holds one batch at a time.
+    A worker holds one batch at a time: at most ``ARROW_ROWS`` rows, unless the
+    session has a number of its own, and what Spark allows of bytes.
     """
     env = spark.sparkContext.environment
     if _ROOT not in env.get("PYTHONPATH", "").split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(x for x in (env.get("PYTHONPATH"), _ROOT) if x)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":  # Spark's default
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
     return spark
 
 
@@ -33,10 +35,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; one of our own only if unset."""
+    """The folder in ``spark.checkpoint.dir``. Only a session on one machine may
+    leave it unset; it then has a folder of its own."""
     found = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if found:
         return found.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     app = spark.sparkContext.applicationId
     if app not in _OWN_DIR:
         _OWN_DIR[app] = "file://" + tempfile.mkdtemp(prefix="nasij-")
@@ -46,18 +51,31 @@ def shared_dir(spark: SparkSession) -> str:
 class Written:
     """A DataFrame that was written to the shared folder, and can be removed."""
 
+    #: those that are still there
+    held: list["Written"] = []
+
     def __init__(self, df: DataFrame, tag: str):
         self.spark = df.sparkSession
         self.path = f"{shared_dir(self.spark)}/nasij/{tag}-{uuid.uuid4().hex}"
         df.write.option("compression", "zstd").parquet(self.path)
         self.df = self.spark.read.schema(df.schema).parquet(self.path)
+        Written.held.append(self)
 
     def drop(self) -> None:
-        jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.path)
+        if self in Written.held:
+            Written.held.remove(self)
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path)
         path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def release(*kept: Written, since: int = 0) -> None:
+    """Removes the tables that were written from the ``since``-th on, but for
+    those kept. Results are lazy: call it when what reads them is written."""
+    for w in Written.held[since:]:
+        if w not in kept:
+            w.drop()
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """A column name that the table does not have."""
     taken = {c.lower() for c in df.columns}

@@ -7,16 +7,20 @@ from pyspark.sql import functions as F
 
 from nasij.llm.common import Written
 
+HUBS = 1000
+
 
 def connected_components(edges: DataFrame, a: str, b: str, max_rounds: int = 60) -> DataFrame:
     """(node, component) for every node that has an edge to another node.
 
     ``component`` is the smallest node reachable. Large-star and small-star
-    rounds (each two aggregations with map-side partial minima and two equi
-    joins, so a hub of any degree is never gathered in one task) repeat until
-    the edges no longer change: O(log n) rounds in practice. Every round is
-    written to the shared folder; nothing is collected but two sums. Null ends
-    and self-loops are ignored; repeated edges count once.
+    rounds (each two aggregations with map-side partial minima and two joins)
+    repeat until the edges no longer change: O(log n) rounds in practice. A node
+    with more than one ``HUBS``-th of all edges is a hub: there are at most twice
+    as many as that, so their minima are broadcast and their edges stay where
+    they are; the edges of any other node are few enough for a task. Every round
+    is written to the shared folder; nothing is collected but two sums. Null
+    ends and self-loops are ignored; repeated edges count once.
     """
     now = Written(
         edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
@@ -30,7 +34,7 @@ def connected_components(edges: DataFrame, a: str, b: str, max_rounds: int = 60)
         if state == seen or not state[0]:
             break
         seen = state
-        after = Written(_small_star(_large_star(now.df)), "cc")
+        after = Written(_small_star(_large_star(now.df, state[0]), state[0]), "cc")
         now.drop()
         now = after
     else:
@@ -43,14 +47,23 @@ def _state(e: DataFrame) -> tuple:
     return r[0], r[1]
 
 
-def _large_star(e: DataFrame) -> DataFrame:
+def _with_least(e: DataFrame, least: DataFrame, edges: int) -> DataFrame:
+    """Each edge with its node's minimum; ``c`` of ``least`` is the degree."""
+    # at most 2 * HUBS rows, as the degrees sum up to at most twice the edges
+    hubs = least.where(F.col("c") > max(1, edges // HUBS)).select("u", "m", F.lit(True).alias("hub"))
+    marked = e.join(F.broadcast(hubs), "u", "left")
+    rest = marked.where("hub is null").select("u", "v").join(least.select("u", "m"), "u")
+    return marked.where("hub").select("u", "v", "m").unionByName(rest)
+
+
+def _large_star(e: DataFrame, edges: int) -> DataFrame:
     both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-    return both.join(least, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
+    least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"), F.count(F.lit(1)).alias("c"))
+    return _with_least(both, least, edges).where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
-def _small_star(e: DataFrame) -> DataFrame:
+def _small_star(e: DataFrame, edges: int) -> DataFrame:
     e = e.distinct()
-    least = e.groupBy("u").agg(F.min("v").alias("m"))
-    moved = e.join(least, "u").where(F.col("v") > F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
+    least = e.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("c"))
+    moved = _with_least(e, least, edges).where(F.col("v") > F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.unionByName(least.select("u", F.col("m").alias("v"))).where(F.col("u") > F.col("v")).distinct()

@@ -6,7 +6,9 @@ its class's: allow if an address of the class is explicitly allowed, else block
 if one is blocked, else allow.
 
 Edges come from ``<link rel=canonical>``, ``<meta http-equiv=refresh>`` and
-``og:url`` in the page, and from an optional table of redirects (src, dst).
+``og:url`` in the page (the last is by its definition the page's canonical
+address), and from an optional table of redirects (src, dst). They are written
+once, as two steps read them.
 Two spellings of one address (scheme, fragment, ``utm_`` parameters, a trailing
 slash) are one node.
 
@@ -21,6 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from nasij.llm.common import Written
 from nasij.llm.graph import connected_components
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -97,6 +100,7 @@ def judge(pages: DataFrame, rules=RULES, redirects: DataFrame | None = None) ->
     edges = page_edges(pages)
     if redirects is not None:
         edges = edges.unionByName(redirects.select(node_of(F.col("src")).alias("src"), node_of(F.col("dst")).alias("dst"), F.col("dst").alias("to")))
+    edges = Written(edges, "edges").df
     classes = connected_components(edges, "src", "dst")
     host, path = host_of(F.col("url")), path_of(F.col("url"))
     base = pages.select("page_id", host.alias("host"), path.alias("path"), node_of(F.col("url")).alias("node"))

@@ -2,9 +2,10 @@ import re
 import zlib
 from collections import defaultdict
 
+import pytest
 from tests.llm import cases
 
-from nasij.llm import graph, neardup, sharding, urls
+from nasij.llm import common, graph, neardup, sharding, urls
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -138,6 +139,13 @@ def test_sets_are_made_once_for_each_clustered_text(spark, monkeypatch):
     assert plan.count("ArrowEvalPython") == 1 and plan.index("ArrowEvalPython") < plan.index("Join")
 
 
+def test_edges_of_hubs_are_joined_by_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(graph, "HUBS", 4)
+    edges = [(0, i) for i in range(1, 60)] + [(i, 100 + i) for i in range(1, 60)] + [(300, 301), (301, 302)]
+    got = {r["node"]: r["component"] for r in graph.connected_components(spark.createDataFrame(edges, "a long, b long"), "a", "b").collect()}
+    assert got == {i: 0 for i in [*range(1, 60), *range(101, 160)]} | {301: 300, 302: 300}
+
+
 def test_components_of_paths_stars_and_rings(spark):
     edges = [(i, i + 1) for i in range(30)] + [(100, i) for i in range(101, 140)] + [(200, 201), (201, 202), (202, 200), (5, 5), (None, 3), (201, 200)]
     got = {r["node"]: r["component"] for r in graph.connected_components(spark.createDataFrame(edges, "a long, b long"), "a", "b").collect()}
@@ -212,3 +220,21 @@ def test_every_link_of_a_page_is_an_edge(spark):
 def test_url_operator_stays_native(spark):
     plan = urls.judge(spark.createDataFrame([(1, "https://a.com/b", "")], "page_id long, url string, html string"))._jdf.queryExecution().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
+
+
+def test_written_tables_are_released(spark):
+    start = len(common.Written.held)
+    a, b = common.Written(spark.range(3), "a"), common.Written(spark.range(4), "b")
+    common.release(b, since=start)
+    assert common.Written.held[start:] == [b] and b.df.count() == 4
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(a.path)
+    assert not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+    b.drop()
+
+
+def test_a_cluster_needs_a_shared_folder(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    far = SimpleNamespace(sparkContext=SimpleNamespace(master="spark://far:7077", applicationId="x", getConf=dict))
+    with pytest.raises(ValueError, match="checkpoint"):
+        common.shared_dir(far)
