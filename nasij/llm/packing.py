@@ -2,11 +2,13 @@
 
 A document's token ids, with the end id, are cut into whole windows and a tail.
 Tails are counted by exact length (a histogram of fewer than ``WINDOW`` bins).
-Shallow patterns of two or three lengths that fill a window exactly are the
-columns of a non-negative least-squares problem whose solution, rounded, says
-how often each pattern is laid out. What is left is packed greedily in order of
-length: tails follow one another and are cut, at a multiple of ``UNIT`` ids,
-where a window ends.
+All patterns of two or three lengths that fill a window exactly are the columns
+of a non-negative least-squares problem whose solution, rounded, says how often
+each pattern is laid out. The problem has many solutions; the descent starts
+from whole repeats, so that it ends near whole numbers. What is left is packed
+greedily: first by patterns that still fit, then in order of length, where tails
+follow one another and are cut, at a multiple of ``UNIT`` ids, where a window
+ends.
 
 Which tail takes which place follows from its number among the tails of its
 length, so that the driver sees no more than the histogram. Each piece carries
@@ -35,8 +37,8 @@ WINDOW, END, UNIT = 2048, 1, 16
 STRIDE = WINDOW - UNIT + 1
 #: Parts by which the tails of one length are numbered.
 SALTS = 64
-#: Second lengths of the triples: this many for each first length.
-TRIPLES = 12
+#: Share of the tails by which the least squares may still move when they stop.
+SETTLED = 1e-3
 VOCABULARY, MERGES = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
 SPECIAL = {"<|endoftext|>": 50256}
 #: Letters of a text that are tokenised at once, cut where a space follows a letter.
@@ -121,47 +123,75 @@ def rest_of(whole: int, begin: int, ids: int) -> int:
 
 
 def patterns(have: np.ndarray) -> np.ndarray:
-    """Rows of three lengths (0: none) that fill a window, of lengths that occur."""
-    out = set()
-    lengths = np.flatnonzero(have[1:WINDOW]) + 1
+    """All rows of two or three lengths (0: none), in falling order, that occur
+    and fill a window: some WINDOW ** 2 / 12 at most."""
     there = np.zeros(WINDOW + 1, bool)
-    there[lengths] = True
-    out.update((WINDOW - a, a, 0) for a in lengths.tolist() if a <= WINDOW // 2 and there[WINDOW - a])
-    for a in lengths.tolist():
-        seconds = lengths[(lengths <= a) & (lengths < WINDOW - a)]
-        seconds = seconds[there[WINDOW - a - seconds]]
-        # spread over the seconds, the commonest included
-        pick = {int(b) for b in seconds[np.linspace(0, len(seconds) - 1, min(TRIPLES, len(seconds))).astype(int)]} if len(seconds) else set()
-        for b in sorted(pick | ({int(seconds[have[seconds].argmax()])} if len(seconds) else set())):
-            out.add(tuple(sorted((a, b, WINDOW - a - b), reverse=True)))
-    return np.array(sorted(out, reverse=True), np.int64).reshape(-1, 3)
-
-
-def solve(have: np.ndarray, rows: np.ndarray, rounds: int = 30) -> np.ndarray:
+    there[1:WINDOW] = have[1:WINDOW] > 0
+    out = [np.zeros((0, 3), np.int64)]
+    for a in np.flatnonzero(there).tolist():
+        b = np.arange(max(1, -(-(WINDOW - a) // 2)), min(a, WINDOW - a) + 1)
+        c = WINDOW - a - b
+        fits = there[b] & (there[c] | (c == 0))
+        out.append(np.stack([np.full(int(fits.sum()), a), b[fits], c[fits]], axis=1))
+    return np.concatenate(out)[::-1].astype(np.int64)
+
+
+def _most(left: np.ndarray, lengths: list[int]) -> int:
+    """How often the pattern can be laid with what is left."""
+    return min(int(left[a]) // lengths.count(a) for a in lengths)
+
+
+def greedy(left: np.ndarray) -> dict[tuple, int]:
+    """Whole repeats of patterns, the longest lengths first; takes from ``left``."""
+    out: dict[tuple, int] = {}
+    for a in range(WINDOW - 1, WINDOW // 3, -1):
+        if not left[a]:
+            continue
+        b = np.arange(max(1, -(-(WINDOW - a) // 2)), min(a, WINDOW - a) + 1)
+        c = WINDOW - a - b
+        # the pair is the last; a triple that can be laid often comes first
+        can = np.minimum(left[b], np.where(c > 0, left[c], left[b]))
+        for i in np.lexsort((b, can))[::-1]:
+            if not left[a] or not can[i]:
+                break
+            row = (a, int(b[i]), int(c[i]))
+            n = _most(left, [x for x in row if x])
+            if n > 0:
+                out[row] = out.get(row, 0) + n
+                for x in row:
+                    left[x] -= n if x else 0
+    return out
+
+
+def solve(have: np.ndarray, rows: np.ndarray, rounds: int = 300) -> np.ndarray:
     """min |A x - have| with x >= 0, by exact steps along one pattern at a time.
 
-    Column j of A counts how often each length is in pattern j.
+    Column j of A counts how often each length is in pattern j. A round goes
+    through the patterns along which a step would still pay; it ends when the
+    steps of a round are ``SETTLED`` of the counts together.
     """
-    columns = []
-    for r in rows:
-        lengths, times = np.unique(r[r > 0], return_counts=True)
-        columns.append((lengths.tolist(), times.tolist(), float((times**2).sum())))
-    x, left = [0.0] * len(rows), have.astype(float).tolist()
+    start = greedy(rest := have.astype(np.int64).copy())
+    left = rest.astype(float)
+    left[0] = 0.0
+    x = np.array([float(start.get(tuple(r), 0)) for r in rows.tolist()])
+    norm = (rows[:, :, None] == rows[:, None, :]).sum(axis=(1, 2)) - (rows[:, 2] == 0)
     for _ in range(rounds):
-        moved = 0.0
-        for j, (lengths, times, norm) in enumerate(columns):
-            step = sum(left[a] * n for a, n in zip(lengths, times, strict=True)) / norm
-            new = x[j] + step
-            if new < 0:
-                step, new = -x[j], 0.0
+        gain = left[rows].sum(axis=1) / norm
+        open_ = np.flatnonzero((gain > 0.01) | ((gain < -0.01) & (x > 0)))
+        moved, r = 0.0, left.tolist()
+        for j, (a, b, c), n in zip(open_.tolist(), rows[open_].tolist(), norm[open_].tolist(), strict=True):
+            step = max((r[a] + r[b] + r[c]) / n, -x[j])
             if step:
-                x[j] = new
-                for a, n in zip(lengths, times, strict=True):
-                    left[a] -= step * n
+                x[j] += step
+                r[a] -= step
+                r[b] -= step
+                if c:
+                    r[c] -= step
                 moved += abs(step)
-        if moved < 0.002 * max(1.0, have.sum()):
+        left = np.array(r)
+        if moved <= SETTLED * max(1.0, float(have.sum())):
             break
-    return np.array(x)
+    return x
 
 
 @dataclass(frozen=True)
@@ -185,16 +215,22 @@ def plan(have: np.ndarray) -> Layout:
     x = solve(left, rows) if len(rows) else np.zeros(0)
     places: dict[int, list] = {}
     used, sequence = np.zeros(WINDOW, np.int64), 0
-    for j in np.argsort(-x, kind="stable"):
-        lengths, times = np.unique(rows[j][rows[j] > 0], return_counts=True)
-        n = min(int(round(x[j])), int((left[lengths] // times).min()))
-        if n <= 0:
-            continue
+    order = np.argsort(-x, kind="stable")
+    laid = []
+    for j in order[x[order] >= 0.5]:
+        row = [a for a in rows[j].tolist() if a]
+        n = min(int(round(x[j])), _most(left, row))
+        if n > 0:
+            laid.append((row, n))
+            for a in row:
+                left[a] -= n
+    # the residuals: patterns that still fit
+    laid += [([a for a in row if a], n) for row, n in greedy(left).items()]
+    for row, n in laid:
         offset = 0
-        for a in rows[j][rows[j] > 0].tolist():
+        for a in row:
             places.setdefault(a, []).append((int(used[a]), sequence, offset))
             used[a] += n
-            left[a] -= n
             offset += a
         sequence += n
     stream, at = {}, 0

@@ -223,6 +223,46 @@ def test_least_squares_against_projected_gradient():
     assert np.linalg.norm(a @ x - have) == pytest.approx(np.linalg.norm(a @ y - have), rel=0.02, abs=0.5)
 
 
+def test_production_solve_is_optimal_and_patterns_are_all():
+    rng = np.random.default_rng(3)
+    have = np.zeros(packing.WINDOW, np.int64)
+    for a in rng.choice(np.arange(1, packing.WINDOW), 60, replace=False).tolist() + [2000, 48, 1024, 512, 1536, 1000]:
+        have[a] = rng.integers(1, 9)
+    rows = packing.patterns(have)
+    there = [a for a in range(1, packing.WINDOW) if have[a]]
+    every = {(a, b, c) for a in there for b in [*there] for c in [0, *there] if a >= b >= c and a + b + c == packing.WINDOW}
+    assert set(map(tuple, rows.tolist())) == every
+    a = np.zeros((packing.WINDOW, len(rows)))
+    for j, r in enumerate(rows):
+        for v in r[r > 0]:
+            a[v, j] += 1
+    x, y = packing.solve(have, rows), np.zeros(len(rows))
+    speed = 1 / np.linalg.norm(a, 2) ** 2
+    for _ in range(20_000):
+        y = np.maximum(0, y - a.T @ (a @ y - have) * speed)
+    assert (x >= 0).all()
+    assert np.linalg.norm(a @ x - have) == pytest.approx(np.linalg.norm(a @ y - have), rel=0.01, abs=0.1)
+
+
+def test_few_tails_are_mostly_laid_by_patterns():
+    rng = np.random.default_rng(5)
+    have = np.bincount(rng.integers(1, packing.WINDOW, 1000), minlength=packing.WINDOW)
+    layout = packing.plan(have)
+    streamed = sum(int(have[a] - layout.places[a][-1][0]) for a in layout.stream)
+    assert streamed < 400
+    # every tail has one place, and no place is used twice
+    seen = set()
+    for a, table in layout.places.items():
+        ends = [*table[1:, 0].tolist(), int(have[a])]
+        for (lo, sequence, offset), hi in zip(table.tolist(), ends, strict=True):
+            if sequence >= 0:
+                for k in range(lo, hi):
+                    spot = sequence + k - lo, offset
+                    assert spot not in seen
+                    seen.add(spot)
+    assert len(seen) == 1000 - streamed
+
+
 def test_cuts_fill_windows_and_lose_nothing():
     rng = np.random.default_rng(0)
     at, held = 0, defaultdict(int)
