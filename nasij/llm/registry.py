@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from nasij.llm import ann, langid, media, mixing, neardup, packing, quality, sharding, toxicity, urls
-from nasij.llm.common import table
+from nasij.llm.common import shared_dir, table
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,7 +16,9 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sharding.shard(table(spark, sf_dir, "documents"), shards=40)[0]
+    # a map of this run's own, stored and loaded as later runs would
+    folder = f"{shared_dir(spark)}/nasij/slot-map-{uuid.uuid4().hex}"
+    return sharding.rebalanced(table(spark, sf_dir, "documents"), folder, shards=40)[0]
 
 
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -112,5 +115,6 @@ FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN (SELECT x, min(y)
 
 
 def oracle_sql() -> dict[str, str]:
-    """The others are models, images or searches: tests hold them to brute force."""
+    """The others are models, images, tokenizers or searches: tests hold their
+    results to brute force or an exact round trip."""
     return {"op5_urls": _URLS, "op6_neardup": _NEARDUP}

@@ -2,7 +2,8 @@
 
 A record's virtual slot is a hash of its id and text, of ``SLOTS`` slots that
 never change. Bytes are summed for each slot; the map deals whole slots to
-shards and is edited, never rebuilt, when data or shards change.
+shards and is edited, never rebuilt, when data or shards change. Each version of
+it is a file in the map's folder; the latest is in force.
 
 The law held is ``bytes``: shards have nearly equal sizes, as long as no single
 record weighs much of a shard. A group of copies is spread over slots by the
@@ -19,13 +20,14 @@ import heapq
 import json
 from dataclasses import asdict, dataclass, field
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from nasij.llm.common import Written, text_bytes
 
 SLOTS = 4096
 RECORD_BYTES = 16
+SIZED = ["doc_id", "size", "text_crc32", "virtual_slot"]
 
 
 @dataclass(frozen=True)
@@ -114,15 +116,60 @@ def slot_weights(sized: DataFrame, slots: int = SLOTS) -> tuple[list[int], list[
     return size, rows
 
 
+def _filesystem(spark: SparkSession, folder: str):
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def versions(spark: SparkSession, folder: str) -> list[int]:
+    """Versions of the map in a folder, in order."""
+    path, files = _filesystem(spark, folder)
+    names = [f.getPath().getName() for f in files.listStatus(path)] if files.exists(path) else []
+    return sorted(int(n[4:-5]) for n in names if n.startswith("map-") and n.endswith(".json"))
+
+
+def save(spark: SparkSession, folder: str, slot_map: SlotMap) -> None:
+    """Adds a version; one that is there is never replaced."""
+    path, files = _filesystem(spark, f"{folder}/map-{slot_map.version:06d}.json")
+    out = files.create(path, False)
+    try:
+        out.write(bytearray(slot_map.to_json().encode()))
+    finally:
+        out.close()
+
+
+def load(spark: SparkSession, folder: str, version: int | None = None) -> SlotMap:
+    """The latest version, or the one asked for."""
+    version = version if version is not None else versions(spark, folder)[-1]
+    return SlotMap.from_json(spark.read.text(f"{folder}/map-{version:06d}.json", wholetext=True).first()[0])
+
+
+def rebalanced(docs: DataFrame, folder: str, shards: int = 40, slots: int = SLOTS) -> tuple[DataFrame, SlotMap]:
+    """Shards by the map in a folder: built and stored as version 1 if there is
+    none, else the latest is edited, and stored as the next version if that
+    moved a slot."""
+    spark = docs.sparkSession
+    sized = Written(measured(docs, slots), "sizes").df
+    weights = slot_weights(sized, slots)[0]
+    if not versions(spark, folder):
+        save(spark, folder, SlotMap.build(weights, shards))
+    else:
+        now = load(spark, folder)
+        after = now.edited(weights, shards)
+        if after.owner != now.owner or after.shards != now.shards:
+            save(spark, folder, after)
+    return shard(sized, shards, load(spark, folder), slots)
+
+
 def shard(docs: DataFrame, shards: int = 40, slot_map: SlotMap | None = None, slots: int = SLOTS) -> tuple[DataFrame, SlotMap]:
     """Every row with its shard and its place there, and the map used.
 
-    Places are gapless in each shard without one task for a shard: rows are
+    ``docs`` may be what ``measured`` gave. Places are gapless in each shard without one task for a shard: rows are
     numbered within their virtual slot, and a slot begins where the slots
     before it in its shard end.
     """
     spark = docs.sparkSession
-    sized = Written(measured(docs, slots), "sizes").df
+    sized = docs if docs.columns == SIZED else Written(measured(docs, slots), "sizes").df
     weights, rows = slot_weights(sized, slots)
     slot_map = slot_map or SlotMap.build(weights, shards)
     begins, filled = [0] * slots, [0] * slot_map.shards

@@ -183,6 +183,24 @@ def test_slot_map_is_edited_not_rebuilt():
     assert sharding.SlotMap.from_json(less.to_json()) == less
 
 
+def test_a_stored_map_is_loaded_and_edited(spark, tmp_path):
+    folder = f"file://{tmp_path}/map"
+    docs = cases.corpus(spark)
+    first = {(r["doc_id"], r["shard"]) for r in sharding.rebalanced(docs, folder, 5)[0].collect()}
+    # the same rows again: nothing moves, no new version
+    again, m = sharding.rebalanced(docs, folder, 5)
+    assert {(r["doc_id"], r["shard"]) for r in again.collect()} == first
+    assert m.version == 1 and sharding.versions(spark, folder) == [1]
+    # one shard more: few rows move, and the first version is still there
+    grown, m = sharding.rebalanced(docs, folder, 6)
+    rows = grown.collect()
+    assert m.version == 2 and sharding.versions(spark, folder) == [1, 2] and {r["map_version"] for r in rows} == {2}
+    moved = {(r["doc_id"], r["shard"]) for r in rows} - first
+    assert moved and {s for _, s in moved} == {5}
+    assert sharding.load(spark, folder, 1).shards == 5 and sharding.load(spark, folder) == m
+    assert m.history[-1] and all(m.owner[slot] == to for slot, _, to in m.history[-1])
+
+
 def judged(spark, rows):
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, verdict string")
     return {r["page_id"]: (r["host"], r["path"], r["rule"], r["verdict"]) for r in urls.judge(pages).collect()}
