@@ -1,7 +1,8 @@
 """Media columns: grey PNG images held in binary columns, and their hashes.
 
 A payload of bytes becomes the samples of an 8-bit grey image of 64 columns:
-zlib-packed scan lines in checked chunks. Reading back tests the signature,
+zlib-packed scan lines in checked chunks, in a binary column of a written table.
+Reading that back tests the signature,
 every chunk's checksum and the sizes, and undoes the line filters in numpy. The
 feature is a 64-bit hash of the low frequencies of a cosine transform.
 
@@ -22,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nasij.llm.common import text_bytes
+from nasij.llm.common import Written, ready, text_bytes
 
 WIDTH = 64
 SIGNATURE = b"\x89PNG\r\n\x1a\n"
@@ -34,6 +35,10 @@ def payload_of(text: bytes) -> bytes:
     return text + b"\0" * ((-len(text)) % WIDTH or (WIDTH if not text else 0))
 
 
+def _samples(text: bytes) -> np.ndarray:
+    return np.frombuffer(payload_of(text), np.uint8).reshape(-1, WIDTH)
+
+
 def _chunk(kind: bytes, data: bytes) -> bytes:
     return struct.pack(">I", len(data)) + kind + data + struct.pack(">I", zlib.crc32(kind + data))
 
@@ -147,30 +152,35 @@ def to_media(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
-            pngs = [encode_png(np.frombuffer(payload_of(bytes(t)), np.uint8).reshape(-1, WIDTH)) for t in texts]
-            yield pd.DataFrame({"n_bytes": [len(t) for t in texts], "png": pngs, "hash": [cosine_hash(decode_png(p)) for p in pngs]})
+            pngs = [encode_png(_samples(bytes(t))) for t in texts]
+            yield pd.DataFrame({"n_bytes": [len(t) for t in texts], "png": pngs, "hash": [cosine_hash(_samples(bytes(t))) for t in texts]})
 
+    ready(docs.sparkSession)
     media = F.pandas_udf(run, "n_bytes long, png binary, hash binary")
     return docs.select("doc_id", media(text_bytes(F.col("text"))).alias("m")).select("doc_id", "m.*")
 
 
-def _digest(text: bytes) -> tuple:
-    png = encode_png(np.frombuffer(payload_of(text), np.uint8).reshape(-1, WIDTH))
-    samples = decode_png(png)
-    payload = samples.tobytes()
-    return len(text), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]), len(png), hashlib.sha256(png).hexdigest(), cosine_hash(samples).hex()
+DIGEST = "payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
 
 
-DIGEST = "n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
+def _digest(png: bytes) -> tuple:
+    samples = decode_png(png)
+    payload = samples.tobytes()
+    return len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]), len(png), hashlib.sha256(png).hexdigest(), cosine_hash(samples).hex()
 
 
 def digests(docs: DataFrame) -> DataFrame:
-    """doc_id and what was found in each document's image when read back."""
+    """doc_id, n_bytes and what was found in each document's image.
+
+    The images are written to a table with a binary column in the shared folder,
+    and read back from it.
+    """
+    media = Written(to_media(docs.select("doc_id", "text")), "media").df
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         names = [c.split()[0] for c in DIGEST.split(", ")]
-        for texts in batches:
-            yield pd.DataFrame([_digest(bytes(t)) for t in texts], columns=names)
+        for pngs in batches:
+            yield pd.DataFrame([_digest(bytes(p)) for p in pngs], columns=names)
 
     digest = F.pandas_udf(run, DIGEST)
-    return docs.select("doc_id", digest(text_bytes(F.col("text"))).alias("m")).select("doc_id", "m.*")
+    return media.select("doc_id", "n_bytes", digest("png").alias("m")).select("doc_id", "n_bytes", "m.*")
