@@ -2,8 +2,8 @@
 
 Documents are counted by source and exact length. A source's target is met by
 whole rounds of the source, then by a part of one round: a proportional share
-of every length is taken first, and a bounded knapsack over the lengths that
-are left fills the small remaining budget. Which documents of a length are
+of every length is taken first, and a bounded knapsack over all lengths that are
+left fills the small remaining budget. Which documents of a length are
 taken is drawn by a seeded hash.
 
 Targets: sources in code point order (null last) weigh 5, 2, 1, repeating, and
@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from nasij.llm.common import Written
+from nasij.llm.common import Written, fresh
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
@@ -33,8 +33,8 @@ BUDGET, LIMIT = 1.5, 2
 SEED = 20
 #: Parts by which the documents of one source and length are numbered.
 SALTS = 64
-#: Lengths that the knapsack may combine for the last budget.
-DP_LENGTHS, DP_BUDGET = 160, 1 << 17
+#: Words that the knapsack fills at most; its lengths are all that are left.
+DP_BUDGET = 1 << 17
 
 
 def words(text: Column) -> Column:
@@ -67,8 +67,8 @@ def targets(totals: DataFrame) -> DataFrame:
 def choose_counts(lengths: np.ndarray, counts: np.ndarray, budget: int, seed: int = SEED) -> np.ndarray:
     """How many documents of each length to take, for a sum next to ``budget``.
 
-    A proportional share of each length first, then a bounded knapsack on bit
-    sets for what is left of the budget. Where that leaves words over, other
+    A proportional share of each length first, then a bounded knapsack by dynamic
+    programming for what is left of the budget. Where that leaves words over, other
     first shares are tried, and the largest sum is kept.
     """
     lengths, counts = lengths.astype(np.int64), counts.astype(np.int64)
@@ -79,12 +79,11 @@ def choose_counts(lengths: np.ndarray, counts: np.ndarray, budget: int, seed: in
     if budget >= total:
         return counts.copy()
     for taken in _shares(lengths, counts, budget, seed):
-        for part in (1.0, 0.75, 0.5):
-            got = _filled(lengths, counts, taken, budget, part, seed)
-            if (lengths * got).sum() > (lengths * best).sum():
-                best = got
-            if (lengths * best).sum() == budget:
-                return best
+        got = _filled(lengths, counts, taken, budget)
+        if (lengths * got).sum() > (lengths * best).sum():
+            best = got
+        if (lengths * best).sum() == budget:
+            return best
     return best
 
 
@@ -130,14 +129,13 @@ def _shares(lengths: np.ndarray, counts: np.ndarray, budget: int, seed: int) ->
     yield np.zeros(len(counts), np.int64)
 
 
-def _filled(lengths: np.ndarray, counts: np.ndarray, taken: np.ndarray, budget: int, part: float, seed: int) -> np.ndarray:
-    """``taken`` and what fills the rest of the budget. The knapsack gets at most
-    ``part`` of what its lengths hold; the other lengths fill what is above."""
+def _filled(lengths: np.ndarray, counts: np.ndarray, taken: np.ndarray, budget: int) -> np.ndarray:
+    """``taken``, and documents of the other lengths with the largest sum that
+    fits the rest of the budget. A rest above ``DP_BUDGET`` is filled by the
+    longest first; if it stays above, no document left fits it."""
     taken = taken.copy()
     left = budget - int((lengths * taken).sum())
     spare = counts - taken
-    rng = np.random.default_rng(seed)
-    rng.permutation(len(lengths))
     for i in np.argsort(-lengths, kind="stable"):
         if left <= DP_BUDGET:
             break
@@ -145,39 +143,27 @@ def _filled(lengths: np.ndarray, counts: np.ndarray, taken: np.ndarray, budget:
         taken[i] += k
         spare[i] -= k
         left -= k * int(lengths[i])
-    fits = [i for i in rng.permutation(len(lengths)) if spare[i] > 0 and 0 < lengths[i] <= left]
-    small = sorted(fits, key=lambda i: lengths[i])
-    used = list(dict.fromkeys([*fits[: DP_LENGTHS // 2], *small[: DP_LENGTHS // 2]]))
-    if part < 1:
-        used = list(dict.fromkeys([*used, *small[-DP_LENGTHS // 4 :]]))
-    goal = int(part * sum(min(int(spare[i]), left // int(lengths[i])) * int(lengths[i]) for i in used))
-    others = set(fits) - set(used)
-    for i in reversed(small):
-        if left <= goal:
-            break
-        if i in others:
-            k = min(int(spare[i]), left // int(lengths[i]), -(-(left - goal) // int(lengths[i])))
-            taken[i] += k
-            spare[i] -= k
-            left -= k * int(lengths[i])
-    # reach[k]: bit b is set if the first k bundles can sum to b
-    bundles = []
-    for i in used:
+    left = min(left, DP_BUDGET)
+    # by[s]: the first bundle with which s is a sum; the rest of s is a sum of
+    # earlier ones
+    by = np.full(left + 1, -2, np.int64)
+    by[0] = -1
+    bundles: list[tuple[int, int]] = []
+    for i in np.flatnonzero((spare > 0) & (lengths > 0) & (lengths <= left)).tolist():
         n, size = min(int(spare[i]), left // int(lengths[i])), 1
-        while n > 0:
-            bundles.append((i, min(size, n)))
+        while n > 0 and by[left] == -2:
+            many = min(size, n)
+            w = many * int(lengths[i])
+            new = np.flatnonzero((by[:-w] != -2) & (by[w:] == -2)) + w if w <= left else []
+            by[new] = len(bundles)
+            bundles.append((i, many))
             n -= size
             size *= 2
-    mask, reach = (1 << (left + 1)) - 1, [1]
-    for i, n in bundles:
-        reach.append((reach[-1] | reach[-1] << (n * int(lengths[i]))) & mask)
-    at = reach[-1].bit_length() - 1
-    for k in range(len(bundles), 0, -1):
-        if not reach[k - 1] >> at & 1:
-            i, n = bundles[k - 1]
-            taken[i] += n
-            spare[i] -= n
-            at -= n * int(lengths[i])
+    at = int(np.flatnonzero(by != -2)[-1])
+    while at:
+        i, many = bundles[by[at]]
+        taken[i] += many
+        at -= many * int(lengths[i])
     return taken
 
 
@@ -234,8 +220,8 @@ def mixed(docs: DataFrame) -> DataFrame:
     written, so that each gets its own copies, equal rows and null ids as well.
     """
     # the rows' own numbers are stable once written
-    rows = Written(docs.withColumn("_row", F.monotonically_increasing_id()), "mix-rows").df
-    drawn = _planned(rows.select("doc_id", "source", "_row", words(F.col("text")).alias("size")))
-    copies = drawn.where("taken > 0").select("_row", F.expr("int(taken div size)").alias("_copies"))
-    one = rows.join(copies, "_row").select(*[rows[c] for c in docs.columns], F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("_copy"))
-    return one.drop("_copy")
+    row, copy = fresh(docs, "row"), fresh(docs, "copy")
+    rows = Written(docs.withColumn(row, F.monotonically_increasing_id()), "mix-rows").df
+    drawn = _planned(rows.select("doc_id", "source", row, words(F.col("text")).alias("size")))
+    copies = drawn.where("taken > 0").select(row, F.expr("int(taken div size)").alias(copy))
+    return rows.join(copies, row).withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copy)))).select(*docs.columns)

@@ -7,6 +7,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tests.llm import cases
 
 from nasij.llm import media, mixing, packing
@@ -155,6 +156,47 @@ def test_one_very_long_document_leaves_no_gap(longest):
         assert int((lengths * got).sum()) == (min(budget, short) if budget < longest else min(budget, short + longest)), budget
 
 
+def test_every_length_may_fill_the_budget():
+    """Exact sums over far more lengths than a few, against all sums there are."""
+    rng = np.random.default_rng(7)
+    for _ in range(30):
+        lengths = np.sort(rng.choice(np.arange(2, 90), 12, replace=False))
+        counts = rng.integers(1, 3, 12)
+        sums = {0}
+        for n, k in zip(lengths.tolist(), counts.tolist(), strict=True):
+            sums = {s + j * n for s in sums for j in range(k + 1)}
+        budget = int(rng.integers(1, (lengths * counts).sum()))
+        got = mixing.choose_counts(lengths, counts, budget)
+        assert (got >= 0).all() and (got <= counts).all()
+        assert int((lengths * got).sum()) == max(s for s in sums if s <= budget)
+    # even lengths but for one that is rare: an odd budget needs it
+    lengths, counts = np.array([*range(1000, 3000, 2), 1501]), np.array([3] * 1000 + [1])
+    assert int((lengths * mixing.choose_counts(lengths, counts, 2_000_001)).sum()) == 2_000_001
+
+
+def test_mixed_keeps_columns_of_any_name(spark):
+    docs = cases.corpus(spark, 20).withColumn("_row", F.lit("mine")).withColumn("_copy", F.lit(3))
+    rows = mixing.mixed(docs)
+    assert rows.columns == docs.columns and all(r["_row"] == "mine" and r["_copy"] == 3 for r in rows.collect())
+
+
+def test_digests_are_read_from_a_stored_column(spark, monkeypatch):
+    seen = []
+
+    class Spy(media.Written):
+        def __init__(self, df, tag):
+            super().__init__(df, tag)
+            seen.append(self)
+
+    monkeypatch.setattr(media, "Written", Spy)
+    rows = {r["doc_id"]: r for r in media.digests(cases.corpus(spark, 6)).collect()}
+    assert len(seen) == 1
+    stored = seen[0].df.collect()
+    assert len(stored) == len(rows)
+    for r in stored:
+        assert hashlib.sha256(bytes(r["png"])).hexdigest() == rows[r["doc_id"]]["media_sha256"] and bytes(r["hash"]).hex() == rows[r["doc_id"]]["feature"]
+
+
 def test_small_source_with_one_very_long_document(spark):
     sizes = [n for n in range(1, 201) for _ in range(5)] + [70_000]
     rows = [(i, "w " * n, "en", "only", 1, 0.0, "", 1, "") for i, n in enumerate(sizes)]
