@@ -141,6 +141,7 @@ def test_sets_are_made_once_for_each_clustered_text(spark, monkeypatch):
 
 def test_edges_of_hubs_are_joined_by_broadcast(spark, monkeypatch):
     monkeypatch.setattr(graph, "HUBS", 4)
+    monkeypatch.setattr(graph, "FEW", 1)
     edges = [(0, i) for i in range(1, 60)] + [(i, 100 + i) for i in range(1, 60)] + [(300, 301), (301, 302)]
     got = {r["node"]: r["component"] for r in graph.connected_components(spark.createDataFrame(edges, "a long, b long"), "a", "b").collect()}
     assert got == {i: 0 for i in [*range(1, 60), *range(101, 160)]} | {301: 300, 302: 300}
