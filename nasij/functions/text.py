@@ -115,12 +115,24 @@ def detached_marks(c: Column) -> Column:
     return F.regexp_count(c, F.lit(f"(?<![{LETTERS}{MARKS}{TATWEEL}])[{MARKS}]"))
 
 
-def repair_marks(c: Column, rounds: int = 4) -> Column:
-    """Joins marks that a space parts from their letter, then moves marks that
-    lead a word behind its first letter. ``rounds`` bounds the joining."""
-    for _ in range(rounds):
-        c = _gsub(c, f"([{LETTERS}{TATWEEL}]) +([{MARKS}])", "$1$2")
-    return _gsub(c, f"(?<![{LETTERS}{MARKS}{TATWEEL}])([{MARKS}]+)([{LETTERS}])", "$2$1")
+# The letters and marks of the repair, and what a word may follow.
+BASES = "\u0621-\u063A\u0641-\u064A"
+REPAIRED = "\u064B-\u0655\u0670\u06D6-\u06ED"
+OPENERS = "(){}\\[\\]«».,:؛،\"\\-"
+
+
+def repair_marks(c: Column) -> Column:
+    """struct<text, joins, moves>.
+
+    Letter, spaces, marks and letter become letter, letter and marks (a join).
+    Marks that lead a line, or a word after punctuation, go behind its first
+    letter (a move). A join leaves no further one behind it, as a mark then
+    follows its letter: one pass reaches the fixpoint.
+    """
+    parted = f"([{BASES}]) +([{REPAIRED}]+)([{BASES}])"
+    leading = f"(?dm)(^|[{OPENERS}])([{REPAIRED}]+)([{BASES}])"
+    joined = _gsub(c, parted, "$1$3$2")
+    return F.when(c.isNotNull(), F.struct(_gsub(joined, leading, "$1$3$2").alias("text"), F.regexp_count(c, F.lit(parted)).alias("joins"), F.regexp_count(joined, F.lit(leading)).alias("moves")))
 
 
 def residue_tokens(c: Column, keep: list[str], around: int = 3, limit: int = 120) -> Column:

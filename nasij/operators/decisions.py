@@ -6,7 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Vocabularies and bounds of the tables.
-PRECISE = ("hijri_year", "gregorian_year", "year_unmarked_era", "page_reference")
+NUMERIC = ("hijri_year", "gregorian_year", "year_unmarked_era", "page_reference")
+PRECISE = ("hijri_year", "gregorian_year", "year_unmarked_era", "page_reference", "entry_headword", "entry_root", "citation_authority")
 SEVERITY = {"SUPPORTED": 0, "PARTIAL": 1, "UNSUPPORTED": 2, "CONTRADICTED": 3}
 VERDICT_RANK = {"PASS": 0, "NO_FACT_COVERAGE": 1, "REVIEW": 2, "FAIL_CONTRADICTED": 3, "INVALID_RECORD": 4}
 HIGH, LOW, TIE = 95.0, 50.0, 5.0
@@ -39,8 +40,8 @@ def combine_sft(fact: Column, where: Column, similar: Column, types: Column) ->
     weak = fact.isin("PARTIAL", "UNSUPPORTED")
     return (
         F.when(fact == "UNKNOWN_CHUNK", v("INVALID_RECORD", None)).when((fact == "CONTRADICTED") & hard, v("FAIL_CONTRADICTED", "fail")).when(fact == "CONTRADICTED", v("REVIEW", "fail"))
-        .when(fact == "NO_CHECKABLE_CLAIMS", v("NO_FACT_COVERAGE", lean)).when(~similar, v("REVIEW", F.when(fact == "SUPPORTED", "pass")))
-        .when((fact == "SUPPORTED") & (where == "high"), v("PASS", "pass")).when((fact == "SUPPORTED") & (where == "low"), v("REVIEW", "fail")).when(fact == "SUPPORTED", v("REVIEW", "pass"))
+        .when(fact == "NO_CHECKABLE_CLAIMS", v("NO_FACT_COVERAGE", lean)).when(~similar, v("REVIEW", F.when(fact == "SUPPORTED", "pass").otherwise("fail")))
+        .when((fact == "SUPPORTED") & (where == "high"), v("PASS", None)).when((fact == "SUPPORTED") & (where == "low"), v("REVIEW", "fail")).when(fact == "SUPPORTED", v("REVIEW", "pass"))
         .when(weak & (where == "low"), v("REVIEW", "fail")).when(weak & (where == "high"), v("REVIEW", "pass")).otherwise(v("REVIEW", None))
     )
 

@@ -135,6 +135,8 @@ def components(pairs: DataFrame, a: str, b: str, rounds: int = 50) -> DataFrame:
         if not jump.where("old <> l").limit(1).count():
             break
         labels = jump.select("x", "l")
+    else:
+        raise RuntimeError("components did not settle")
     return labels.select(F.col("x").alias("node"), F.col("l").alias("component"))
 
 

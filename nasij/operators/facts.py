@@ -8,6 +8,7 @@ value. Verdicts are expressions over exploded assertions.
 
 from __future__ import annotations
 
+import bisect
 import difflib
 import re
 from collections.abc import Callable, Iterator
@@ -17,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from nasij.functions import text as T
-from nasij.operators.decisions import PRECISE, SEVERITY, lookup
+from nasij.operators.decisions import NUMERIC, SEVERITY, lookup
 
 # Patterns, word lists and bounds that the facts are told by.
 ARW = "[ء-ي]"
@@ -36,9 +37,9 @@ VERBS = r"\b(?:وأنشد|أنشد|وقال|قالت|قال|يقول)"
 _K = "(?:" + "|".join(KUNYA) + ")"
 NAME = rf"({_K}\s+(?:{_K}\s+)?{ARW}{{2,}}|(?:ال)?{ARW}{{3,}}(?:\s+(?:بن|ابن)\s+{ARW}{{2,}}){{0,2}}(?:\s+(?:ال){ARW}{{3,}}){{0,1}})"
 CITATION = VERBS + r"\s+" + NAME
-STOPWORDS = frozenset(
-    "له لها لهم لهن لك لكم لي لنا عنه عنها فيه فيها به بها منه منها هذا هذه ذلك تلك هو هي هم أنا أنت ما إن أن قد كذا كما إذا حين عند كان كانت لما لقد ثم بعض البعض أيضا أيضاً أي لم لا نعم".split()
-)
+STOPWORDS = {
+    "له", "لها", "لهم", "لهن", "لك", "لكم", "لي", "لنا", "عنه", "عنها", "فيه", "فيها", "به", "بها", "منه", "منها", "هذا", "هذه", "ذلك", "تلك", "هو", "هي", "هم", "أنا", "أنت", "ما", "إن", "أن", "قد", "كذا", "كما", "إذا", "حين", "عند", "كان", "كانت", "لما", "لقد", "ثم", "بعض", "البعض", "أيضا", "أيضاً", "أي", "لم", "لا", "نعم",
+}
 CROSS = rf"(?:وفي|في)\s+((?:حاضرة|بادية|لهجة|لهجات|أهل)(?:\s+(?:أهل|بني))?\s+{ARW}{{2,}}|مصر|الشام|العراق|اليمن|الحجاز|نجد|الكويت|البحرين)"
 FOOT_MARK, FOOT_LINE = r"\(\s*\.\s*\)\s*\d+", rf"(?m)^\d{{1,2}}(?={ARW})"
 QUOTED = r"['‘’\"“”«»]([^'‘’\"“”«»\n]{2,60}?)['‘’\"“”«»]"
@@ -100,8 +101,8 @@ def dialect_facts(text: str) -> list[dict]:
 
 def lexicon_facts(text: str) -> list[dict]:
     roots, figures = [m.start() for m in re.finditer(ROOT, text)], [m.start() for m in re.finditer(FIGURATIVE, text)]
-    ends = [*roots, *figures, len(text)]
-    senses = [{"type": "figurative_sense", "value": text[a : min(e for e in ends if e > a)].rstrip(), "position_in_text": a} for a in figures]
+    ends = sorted([*roots, *figures, len(text)])
+    senses = [{"type": "figurative_sense", "value": text[a : ends[bisect.bisect_right(ends, a)]].rstrip(), "position_in_text": a} for a in figures]
     return [*_found("entry_root", ROOT, text), *senses, *_found("citation_authority", CITATION, text, value=citation_name)]
 
 
@@ -147,7 +148,19 @@ def confident_citations(rows: DataFrame) -> DataFrame:
     return rows.withColumn("occurrences", often).withColumn("confident", F.when(F.col("type") == "citation_authority", sure))
 
 
+def fact_types(df: DataFrame, region: str, facts: str) -> DataFrame:
+    """Facts of each region and type."""
+    return df.select(region, F.explode(F.transform(facts, lambda f: f["type"])).alias("type")).groupBy(region, "type").agg(F.count(F.lit(1)).alias("facts"))
+
+
+def without_facts(df: DataFrame, key: str, region: str, facts: str) -> DataFrame:
+    """Chunks that hold no fact."""
+    return df.where(F.size(facts) == 0).select(region, key)
+
+
 def fact_report(df: DataFrame, key: str, region: str, facts: str) -> DataFrame:
+    """Chunks, those with facts, coverage in percent and facts of each region;
+    ``fact_types`` and ``without_facts`` give the report's other two tables."""
     some = F.count_if(F.size(facts) > 0)
     return df.groupBy(region).agg(F.count(F.lit(1)).alias("chunks"), some.alias("with_facts"), (100.0 * some / F.count(F.lit(1))).alias("coverage"), F.sum(F.size(facts)).alias("facts"))
 
@@ -222,7 +235,7 @@ def checked(rows: DataFrame, facts: str = "extracted_facts", region: str = "regi
     verdict = (
         F.when(kind == "region_claim", place).when(has("equal"), "SUPPORTED").when(kind == "quoted_lexical_item", quoted).when(rooted, "PARTIAL").when(has("corruption"), "CONTRADICTED")
         .when(has("extension"), F.when(added, "CONTRADICTED").otherwise("PARTIAL")).when(has("abbreviation"), "PARTIAL")
-        .when(kind.isin(*PRECISE), F.when(F.size("_known") > 0, "CONTRADICTED").otherwise("UNSUPPORTED")).when(F.col("_near") >= NEAR_MISS, "CONTRADICTED").otherwise("UNSUPPORTED")
+        .when(kind.isin(*NUMERIC), F.when(F.size("_known") > 0, "CONTRADICTED").otherwise("UNSUPPORTED")).when(F.col("_near") >= NEAR_MISS, "CONTRADICTED").otherwise("UNSUPPORTED")
     )
     return rows.withColumn("_near", near_ratio(F.col("_key"), F.col("_known"))).withColumn("verdict", verdict).drop("_key", "_known", "_chunk", "_rel", "_near")
 

@@ -51,11 +51,21 @@ def near_crossing(df: DataFrame, key: str, text: str, part: str, size: int = 5,
     return met if strict else met.where("jaccard < 1")
 
 
-def pairs_intact(df: DataFrame, pair: str, half: str, part: str) -> DataFrame:
-    """HALF_PAIR: only one half is there. SPLIT_PAIR: its halves are apart."""
-    g = df.groupBy(pair).agg(F.countDistinct(half).alias("halves"), F.countDistinct(part).alias("parts"))
-    code = F.when(F.col("halves") < 2, "HALF_PAIR").when(F.col("parts") > 1, "SPLIT_PAIR")
-    return g.withColumn("code", code).where("code is not null").select(pair, "code", "halves", "parts")
+def pairs_intact(df: DataFrame, chunk: str, chosen: str, rejected: str, part: str, order: list[str]) -> DataFrame:
+    """The rows that break a pair, with ``why`` and ``also_in``.
+
+    A row that has one of its two texts only is half a pair. A whole one whose
+    chunk was first seen in another partition is apart from it; first is by
+    ``order``, the order in which partitions and their rows are read. Rows
+    without either text are no pairs.
+    """
+    there = lambda c: F.length(F.coalesce(F.col(c), F.lit(""))) > 0
+    rows = df.where(F.col(chosen).isNotNull() | F.col(rejected).isNotNull())
+    whole = rows.where(there(chosen) & there(rejected))
+    half = rows.where(~(there(chosen) & there(rejected))).withColumn("also_in", F.lit(None).cast("string")).withColumn("why", F.lit("half_pair"))
+    first = whole.groupBy(chunk).agg(F.min_by(part, F.struct(*order)).alias("also_in"))
+    apart = whole.join(first, chunk).where(F.col("also_in") != F.col(part)).select(*rows.columns, "also_in").withColumn("why", F.lit("chunk_in_two_parts"))
+    return half.unionByName(apart)
 
 
 def counts_by_code(df: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ INTERROGATIVES = ("ما", "كيف", "متى", "أين", "من", "أي", "هل",
 ANSWER_META = ("النص يقول", "حسب النص", "المصدر", "الكتاب", "البيانات", "بناءً على", "the text", "according to")
 TEMPLATES = ("ببساطة", "المقصود", "باختصار", "يعني")
 THINKING_META = ("السؤال يسأل", "لازم", "المطلوب", "بناءً على", "حسب", "the question", "i need to")
-CONSTANTS = {"factual_correctness": 0.8, "dialect_quality": 0.7, "complexity_score": 0.5, "diversity_score": 0.5, "information_density": 0.7, "redundancy_score": 0.2, "similarity_to_nearest_sample": 0.5}
+CONSTANTS = {"factual_correctness": 0.8, "saudi_dialect_quality": 0.7, "complexity_score": 0.5, "diversity_score": 0.5, "information_density": 0.7, "redundancy_score": 0.2, "similarity_to_nearest_sample": 0.5}
 CONFIDENCE = {"question": 0.2, "answer": 0.3, "grounding": 0.2, "thinking": 0.15, "base": 0.15}
 BATCH_PASS, ACCEPT = 0.6, 0.7
 AVERAGE = (0.20, 0.15, 0.15, 0.15, 0.10, 0.10, 0.10, 0.05)

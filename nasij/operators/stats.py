@@ -107,21 +107,33 @@ def spread(df: DataFrame, value: str, universe: list[str]) -> DataFrame:
 
 
 # Bands of the diversity report.
-BANDS = {"distinct_2_low": 0.45, "neighbour_high": 0.55, "template_high": 0.35, "max_share_high": 0.25, "entropy_low": 0.75}
+BANDS = {"distinct_2_low": 0.45, "neighbour_high": 0.55, "near_rate_high": 0.25, "template_high": 0.35, "entropy_low": 0.75}
 
 
-def diversity_flags(distinct2: Column, neighbour: Column, template: Column, max_share: Column, entropy: Column) -> Column:
+def near_template_rate(df: DataFrame, similarity: str) -> DataFrame:
+    """One row: the mean and the largest similarity to the nearest other record,
+    and the share of records that have a near twin; 0 without records."""
+    c = F.col(similarity)
+    return df.agg(*[F.coalesce(x, F.lit(0.0)).alias(n) for x, n in ((F.avg(c), "neighbour_mean"), (F.max(c), "neighbour_max"), (F.avg((c >= BANDS["neighbour_high"]).cast("double")), "near_template_rate"))])
+
+
+def diversity_flags(distinct2: Column, neighbour: Column, near_rate: Column, template: Column, records: Column, distinct: Column, regions: Column, absent: Column, formats: Column) -> Column:
+    """Warnings, in order. ``neighbour`` is the mean similarity to the nearest
+    other record, ``near_rate`` the share of records with a near twin,
+    ``distinct`` the number of different texts among ``records``, ``regions``
+    and ``formats`` the entropies, ``absent`` the number of empty regions."""
     return F.array_compact(F.array(
-        F.when(distinct2 < BANDS["distinct_2_low"], "low_distinct_2"), F.when(neighbour > BANDS["neighbour_high"], "near_neighbours"), F.when(template > BANDS["template_high"], "templated"),
-        F.when(max_share > BANDS["max_share_high"], "dominant_bucket"), F.when(entropy < BANDS["entropy_low"], "low_entropy"),
+        F.when(distinct2 < BANDS["distinct_2_low"], "LOW_PHRASING_VARIETY"), F.when(neighbour >= BANDS["neighbour_high"], "TEMPLATED_INSTRUCTIONS"), F.when(near_rate >= BANDS["near_rate_high"], "TEMPLATED_SUBSET"),
+        F.when(template >= BANDS["template_high"], "SHARED_OPENING"), F.when(distinct < records, "EXACT_DUPLICATES"), F.when(regions < BANDS["entropy_low"], "REGION_IMBALANCE"), F.when(absent > 0, "REGIONS_ABSENT"),
+        F.when(formats < BANDS["entropy_low"], "FORMAT_IMBALANCE"),
     ))
 
 
 def split_feasibility(df: DataFrame, doc: str) -> DataFrame:
     """Parents, records, largest share in percent (one decimal), possible splits."""
     sizes = df.groupBy(doc).agg(F.count(F.lit(1)).alias("n"))
-    share = F.max("n") / F.sum("n")
-    return sizes.agg(F.count(F.lit(1)).alias("parents"), F.sum("n").alias("records"), F.max("n").alias("largest"), share.alias("largest_share"), (F.count(F.lit(1)) >= 2).alias("two_way"), (F.count(F.lit(1)) >= 3).alias("three_way"))
+    share = F.round(100.0 * F.max("n") / F.sum("n"), 1)
+    return sizes.agg(F.count(F.lit(1)).alias("parents"), F.sum("n").alias("records"), F.max("n").alias("largest"), F.coalesce(share, F.lit(0.0)).alias("largest_share"), (F.count(F.lit(1)) >= 2).alias("two_way"), (F.count(F.lit(1)) >= 3).alias("three_way"))
 
 
 def metric_summary(df: DataFrame, metrics: list[str]) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from nasij.functions import text as T
@@ -51,31 +51,65 @@ def join_parents(pairs: DataFrame, samples: DataFrame) -> DataFrame:
     return met.withColumn("problem", F.when(F.col("_p").isNull(), "unknown_parent")).drop("_p")
 
 
+# The fields that records and pairs must have.
+SFT_FIELDS = ("instruction", "response", "source_chunk_id", "source_region", "format_type", "model_version")
+DPO_FIELDS = ("prompt", "chosen", "rejected", "source_chunk_id", "source_region", "rejection_type", "model_version")
+
+
+def lacking(df: DataFrame, fields: tuple) -> Column:
+    """Names of the fields that a row lacks; a column that the table lacks is
+    not asked for, as then no row can have it."""
+    return F.array_compact(F.array(*[F.when(F.col(f).isNull(), f) for f in fields if f in df.columns])).cast("array<string>")
+
+
 def verify_sft(records: DataFrame, chunks: DataFrame, corpus: str, percentiles: DataFrame | None = None) -> DataFrame:
-    """Verdict, leaning and acceptance of each record (row_idx)."""
+    """Verdict, leaning and acceptance of each record (row_idx), with the fields
+    it lacks (an invalid record then) and warnings."""
+    lost = lacking(records, SFT_FIELDS)
     fact = facts.check_records(records, chunks, corpus)
-    rows = records.join(fact, "row_idx")
+    rows = records.withColumn("missing", lost).join(fact, "row_idx", "left")
     rows = rows.join(percentiles, "row_idx", "left") if percentiles is not None else rows.withColumn("percentile", F.lit(None).cast("double"))
-    got = decisions.combine_sft(F.col("fact_verdict"), decisions.band(F.col("percentile")), F.col("percentile").isNotNull(), F.col("contradicted_types"))
+    whole = F.size("missing") == 0
+    got = decisions.combine_sft(F.when(whole, F.col("fact_verdict")).otherwise("UNKNOWN_CHUNK"), decisions.band(F.col("percentile")), F.col("percentile").isNotNull(), F.col("contradicted_types"))
     form = formats.conformance(F.col("response"), F.col("format_type"))
-    ok = F.when(form == "match", True).when(form == "mismatch", False)
+    ok = F.when(whole & (form == "match"), True).when(whole & (form == "mismatch"), False)
     rows = rows.withColumn("_v", got).withColumn("verdict", F.col("_v.verdict")).withColumn("leaning", F.col("_v.leaning")).withColumn("format_conforms", ok).drop("_v")
-    return rows.withColumn("decision", decisions.acceptance(F.col("verdict"), F.col("format_conforms"), F.col("format_type")))
+    return with_region_warning(rows, chunks).withColumn("decision", decisions.acceptance(F.col("verdict"), F.col("format_conforms"), F.col("format_type")))
+
+
+def with_region_warning(rows: DataFrame, chunks: DataFrame) -> DataFrame:
+    """Adds ``warnings``: region_mismatch where the declared region is not that
+    of the chunk; a chunk that is not there is no mismatch."""
+    if "source_region" not in rows.columns:
+        return rows.withColumn("warnings", F.array().cast("array<string>"))
+    there = chunks.select(F.col("chunk_id").alias("source_chunk_id"), F.col("region").alias("_region"), F.lit(True).alias("_there"))
+    apart = F.col("_there") & ~F.col("source_region").eqNullSafe(F.col("_region"))
+    return rows.join(there, "source_chunk_id", "left").withColumn("warnings", F.array_compact(F.array(F.when(apart, "region_mismatch")))).drop("_region", "_there")
 
 
 def triage_dpo(pairs: DataFrame, chosen: DataFrame, rejected: DataFrame) -> DataFrame:
     """Triage of pairs; ``chosen`` and ``rejected`` hold row_idx, verdict,
-    fact_verdict and percentile of the two sides."""
-    side = lambda d, n: d.select("row_idx", *[F.col(c).alias(f"{c}_{n}") for c in ("verdict", "fact_verdict", "percentile")])
-    rows = pairs.join(side(chosen, "a"), "row_idx").join(side(rejected, "b"), "row_idx")
+    fact_verdict and percentile of the two sides.
+
+    A pair that lacks a field or a verified side is suspicious, and says what it
+    lacks; a kind of rejection that is not known is a warning, and nothing is
+    held to be seen of it.
+    """
+    side = lambda d, n: d.select("row_idx", F.lit(True).alias(f"_{n}"), *[F.col(c).alias(f"{c}_{n}") for c in ("verdict", "fact_verdict", "percentile")])
+    rows = pairs.withColumn("_lost", lacking(pairs, DPO_FIELDS)).join(side(chosen, "a"), "row_idx", "left").join(side(rejected, "b"), "row_idx", "left")
+    rows = rows.withColumn("missing", F.concat("_lost", F.array_compact(F.array(F.when(F.col("_a").isNull(), "verified_chosen"), F.when(F.col("_b").isNull(), "verified_rejected"))))).drop("_a", "_b", "_lost")
     grounded = lambda n: F.col(f"fact_verdict_{n}").isin("SUPPORTED", "PARTIAL")
     kind = F.col("rejection_type")
+    detect = F.coalesce(decisions.lookup(decisions.DETECTABLE, F.coalesce(kind, F.lit(""))), F.lit("none"))
     rows = rows.withColumn("length_signal", formats.length_signal(F.col("chosen"), F.col("rejected"))).withColumn("format_relation", formats.compare(F.col("chosen"), F.col("rejected"), F.col("format_type")))
-    rows = rows.withColumn("lexical", similarity.sequence_ratio(F.col("chosen"), F.col("rejected")))
+    rows = rows.withColumn("lexical", similarity.sequence_ratio(F.coalesce("chosen", F.lit("")), F.coalesce("rejected", F.lit(""))))
     rows = rows.withColumn("direction", decisions.direction(F.col("verdict_a"), F.col("verdict_b"), F.col("percentile_a"), F.col("percentile_b"), grounded("a"), grounded("b")))
-    rows = rows.withColumn("corroborated", decisions.corroborates(kind, F.col("fact_verdict_a"), F.col("fact_verdict_b"), F.col("percentile_a"), F.col("percentile_b"), F.col("length_signal"), F.col("format_relation")))
+    seen = decisions.corroborates(kind, F.col("fact_verdict_a"), F.col("fact_verdict_b"), F.col("percentile_a"), F.col("percentile_b"), F.col("length_signal"), F.col("format_relation"))
+    rows = rows.withColumn("corroborated", F.when(detect != "none", seen)).withColumn("detectability", detect)
+    rows = rows.withColumn("warnings", F.array_compact(F.array(F.when(decisions.lookup(decisions.DETECTABLE, F.coalesce(kind, F.lit(""))).isNull(), "unknown_rejection_type"))))
     win = (kind == "wrong_formatting") & (F.col("format_relation") == "chosen_better")
-    return rows.withColumn("triage", decisions.triage(F.col("direction"), F.col("corroborated"), formats.length_consistency(kind, F.col("length_signal")), decisions.lookup(decisions.DETECTABLE, kind), win, decisions.degenerate(F.col("lexical"), kind)))
+    told = decisions.triage(F.col("direction"), F.col("corroborated"), formats.length_consistency(kind, F.col("length_signal")), detect, F.coalesce(win, F.lit(False)), F.coalesce(decisions.degenerate(F.col("lexical"), kind), F.lit(False)))
+    return rows.withColumn("triage", F.when(F.size("missing") > 0, "FLAG_SUSPICIOUS").otherwise(told))
 
 
 def plan_pairs(samples: DataFrame, target: int, kinds: list[str]) -> DataFrame:

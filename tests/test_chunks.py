@@ -1,3 +1,4 @@
+import json
 import random
 
 import pytest
@@ -118,6 +119,16 @@ def test_guards(spark, tmp_path):
     guards.may_overwrite(spark, str(path), "y")
     with pytest.raises(ValueError):
         guards.same_format(df, "corpus", "x")
-    bad = spark.createDataFrame([("c 1", "", "odd", ["empty_chunk"]), ("c2", "t", "prose", [])], "chunk_id string, chunk_text string, format_type string, flags array<string>")
-    found = {(r[0], r[1]) for r in guards.handoff_findings(bad, "chunk_id", ["chunk_text"], ["prose"], "format_type", "flags").collect()}
-    assert found == {("c 1", "EMPTY_chunk_text"), ("c 1", "ID_HAS_SPACE"), ("c 1", "UNKNOWN_FORMAT"), ("c 1", "FATAL_FLAG")}
+    good = {"chunk_id": "c1", "chunk_text": "t", "format_type": "prose", "source": "s", "license": "l"}
+    cases = {
+        1: good, 2: good | {"chunk_id": "c 1", "format_type": "odd"}, 3: good | {"chunk_text": " "}, 4: {k: v for k, v in good.items() if k != "license"}, 5: good | {"source": 5, "license": None},
+        6: good | {"review_flags": "x", "source_doc_flags": ["a", 1]}, 7: good | {"source_doc_flags": ["damaged_page"]}, 8: good | {"review_flags": ["residue_tokens", "x"], "source_doc_flags": None}, 9: good | {"review_flags": []},
+        10: good | {"review_flags": [None]}, 11: [1], 12: good | {"review_flags": ["fine", None]},
+    }
+    rows = [(i, json.dumps(r)) for i, r in cases.items()] + [(20, "{bad"), (21, "  "), (22, None)]
+    found = {tuple(r) for r in guards.handoff_findings(spark.createDataFrame(rows, "line int, record string"), "line", "record").collect()}
+    assert found == {
+        (2, "INVALID_CHUNK_ID", "chunk_id"), (2, "UNKNOWN_FORMAT", "format_type"), (3, "EMPTY_FIELD", "chunk_text"), (3, "EMPTY_TEXT", "chunk_text"), (4, "MISSING_FIELD", "license"), (5, "EMPTY_FIELD", "source"), (5, "EMPTY_FIELD", "license"),
+        (6, "INVALID_REVIEW_FLAGS", "review_flags"), (6, "INVALID_REVIEW_FLAGS", "source_doc_flags"), (7, "FATAL_REVIEW_FLAG", "review_flags"), (8, "FATAL_REVIEW_FLAG", "review_flags"),
+        (10, "INVALID_REVIEW_FLAGS", "review_flags"), (11, "NOT_AN_OBJECT", None), (12, "INVALID_REVIEW_FLAGS", "review_flags"), (20, "BAD_JSON", None),
+    }

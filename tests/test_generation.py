@@ -14,6 +14,13 @@ def test_samples_from_replies(spark):
     rows = generation.samples(spark.createDataFrame(replies, "chunk_id string, reply string"), "chunk_id", "reply").collect()
     one = [r for r in rows if r["chunk_id"] == "c1"]
     assert [(r["sample_id"], r["question_type"], r["support_facts"]) for r in one] == [("c1_sft_001", "Multi-step", ["x"])]
+    skipped = [{"question": "", "answer": "x"}, {"question": "q", "answer": "a", "thinking": "السؤال يسأل عن", "thinking_english": " e "}, {"question": "q2", "answer": "a2", "thinking": "why", "difficulty": "Hard", "reasoning_depth": 2, "support_facts": ["f"]}]
+    got = generation.samples(spark.createDataFrame([("c9", json.dumps(skipped))], "chunk_id string, reply string"), "chunk_id", "reply").orderBy("sample_id").collect()
+    assert [r["sample_id"] for r in got] == ["c9_sft_001", "c9_sft_002"]
+    a, b = got
+    assert (a["thinking"], a["thinking_english"], a["difficulty"], a["reasoning_mode"], a["reasoning_depth"]) == ("", "e", "Medium", "Direct Recall", 0)
+    assert [m["content"] for m in a["messages"]] == ["q", "Answer:\na"] and b["messages"][1]["content"] == "Thinking:\nwhy\n\nAnswer:\na2"
+    assert (b["thinking_arabic"], b["difficulty"], b["reasoning_depth"], b["teacher_only"]["required_facts"]) == ("why", "Hard", 2, ["f"])
     two = [r for r in rows if r["chunk_id"] == "c2"]
     assert len(two) == generation.CEILING and {r["question_type"] for r in two} == {"Meaning"}
     assert {r["chunk_id"] for r in rows} == {"c1", "c2"}
@@ -64,3 +71,15 @@ def test_adapter_reports_problems(spark):
     pairs = spark.createDataFrame([("s1",), ("s9",)], "source_sample_id string")
     samples = spark.createDataFrame([("s1", "c1", "najdi")], "sample_id string, chunk_id string, dialect string")
     assert {r["source_sample_id"]: r["problem"] for r in jobs.join_parents(pairs, samples).collect()} == {"s1": None, "s9": "unknown_parent"}
+
+
+def test_diversity_flags_at_their_bands(spark):
+    ok = (0.45, 0.54, 0.24, 0.34, 10, 10, 0.75, 0, 0.75)
+    bad = (0.44, 0.55, 0.25, 0.35, 10, 9, 0.74, 1, 0.74)
+    df = spark.createDataFrame([ok, bad], "d double, n double, r double, t double, k int, u int, e double, a int, f double")
+    flags = stats.diversity_flags(*map(F.col, ("d", "n", "r", "t", "k", "u", "e", "a", "f")))
+    got = [r[0] for r in df.orderBy(F.desc("d")).select(flags).collect()]
+    assert got == [[], ["LOW_PHRASING_VARIETY", "TEMPLATED_INSTRUCTIONS", "TEMPLATED_SUBSET", "SHARED_OPENING", "EXACT_DUPLICATES", "REGION_IMBALANCE", "REGIONS_ABSENT", "FORMAT_IMBALANCE"]]
+    one = stats.near_template_rate(spark.createDataFrame([(0.55,), (0.5,), (1.0,), (0.0,)], "s double"), "s").first()
+    assert (one["near_template_rate"], one["neighbour_max"]) == (0.5, 1.0)
+    assert stats.near_template_rate(spark.createDataFrame([], "s double"), "s").first()["near_template_rate"] == 0.0

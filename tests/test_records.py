@@ -63,20 +63,20 @@ def combine(fact, band, similar, hard):
     if fact == "NO_CHECKABLE_CLAIMS":
         return "NO_FACT_COVERAGE", lean
     if not similar:
-        return "REVIEW", "pass" if fact == "SUPPORTED" else None
+        return "REVIEW", "pass" if fact == "SUPPORTED" else "fail"
     if fact == "SUPPORTED":
-        return {"high": ("PASS", "pass"), "low": ("REVIEW", "fail")}.get(band, ("REVIEW", "pass"))
+        return {"high": ("PASS", None), "low": ("REVIEW", "fail")}.get(band, ("REVIEW", "pass"))
     return "REVIEW", lean
 
 
 def test_sft_table(spark):
     kinds = ["SUPPORTED", "PARTIAL", "UNSUPPORTED", "CONTRADICTED", "NO_CHECKABLE_CLAIMS", "UNKNOWN_CHUNK"]
-    rows = [(f, p, t) for f in kinds for p in (None, 10.0, 49.9, 50.0, 94.9, 95.0) for t in (None, [], ["entry_root"], ["entry_root", "hijri_year"])]
+    rows = [(f, p, t) for f in kinds for p in (None, 10.0, 49.9, 50.0, 94.9, 95.0) for t in (None, [], ["entry_root"], ["gloss", "hijri_year"], ["gloss"], ["region_claim", "cross_dialect_reference"])]
     df = spark.createDataFrame(rows, "f string, p double, t array<string>")
     band = decisions.band(F.col("p"))
     got = df.select("*", band.alias("b"), decisions.combine_sft(F.col("f"), band, F.col("p").isNotNull(), F.col("t")).alias("v")).collect()
     for r in got:
-        hard = not r["t"] or "hijri_year" in r["t"]
+        hard = not r["t"] or bool({"hijri_year", "entry_root"} & set(r["t"]))
         assert (r["v"]["verdict"], r["v"]["leaning"]) == combine(r["f"], r["b"], r["p"] is not None, hard), r
 
 
@@ -230,3 +230,33 @@ def test_rubric(spark):
     assert [round(got[1][c], 4) for c in ("question_naturalness", "answer_naturalness", "thinking_quality", "support_coverage")] == [0.2, 0.15, 0.7, 0.5]
     dup = spark.createDataFrame([("s1", "a", ["user"]), ("s1", "b", ["robot"]), ("s2", "", ["user"])], "id string, question string, roles array<string>")
     assert {tuple(r) for r in quality.contract_findings(dup, "id", ["question"], "roles").collect()} == {("s1", "BAD_ROLE", "roles"), ("s2", "MISSING", "question"), ("s1", "DUPLICATE_ID", "id")}
+
+
+def test_pairs_keep_to_the_first_part_of_their_chunk(spark):
+    rows = [("train", 0, "c1", "x", "y"), ("train", 1, "c2", "x", ""), ("test", 0, "c1", "x", "z"), ("test", 1, "c3", "x", "y"), ("test", 2, "c1", "p", "q"), ("test", 3, "c2", None, None), ("train", 2, "c2", None, "y"), ("zz", 0, "c3", "x", "y")]
+    order = {"train": 0, "test": 1, "zz": 2}
+    df = spark.createDataFrame([(order[r[0]], *r) for r in rows], "part_no int, part string, idx int, chunk string, chosen string, rejected string")
+    got = {(r["part"], r["idx"], r["why"], r["also_in"]) for r in leakage.pairs_intact(df, "chunk", "chosen", "rejected", "part", ["part_no", "idx"]).collect()}
+    assert got == {("train", 1, "half_pair", None), ("train", 2, "half_pair", None), ("test", 0, "chunk_in_two_parts", "train"), ("test", 2, "chunk_in_two_parts", "train"), ("zz", 0, "chunk_in_two_parts", "test")}
+
+
+def test_incomplete_pairs_and_records_come_out(spark):
+    chunks = spark.createDataFrame([("c1", "najdi", "ص 12", facts.dialect_facts("ص 12"))], f"chunk_id string, region string, chunk_text string, extracted_facts {facts.FACT}")
+    rows = [(0, "i", "جاء في ص 12.", "c1", "western", "prose", "m"), (1, "i", "جاء في ص 12.", "c1", "najdi", "prose", None), (2, "i", "جاء في ص 12.", "c9", "najdi", "prose", "m")]
+    got = {r["row_idx"]: r for r in jobs.verify_sft(spark.createDataFrame(rows, "row_idx int, instruction string, response string, source_chunk_id string, source_region string, format_type string, model_version string"), chunks, "saudi_dialect").collect()}
+    assert [(got[i]["verdict"], got[i]["leaning"], got[i]["missing"], got[i]["warnings"]) for i in range(3)] == [("REVIEW", "pass", [], ["region_mismatch"]), ("INVALID_RECORD", None, ["model_version"], []), ("INVALID_RECORD", None, [], [])]
+    assert got[1]["decision"] == got[2]["decision"] == "REJECT"
+    pairs = spark.createDataFrame([(i, "p", c, "other words here", k, "prose") for i, (c, k) in enumerate([("some words", "verbosity"), ("some words", "odd_kind"), (None, "verbosity"), ("some words", None), ("some words", "verbosity")])], "row_idx int, prompt string, chosen string, rejected string, rejection_type string, format_type string")
+    side = spark.createDataFrame([(i, "REVIEW", "PARTIAL", 60.0) for i in range(4)], "row_idx int, verdict string, fact_verdict string, percentile double")
+    got = {r["row_idx"]: r for r in jobs.triage_dpo(pairs, side, side).collect()}
+    assert len(got) == 5
+    assert [got[i]["missing"] for i in range(5)] == [[], [], ["chosen"], ["rejection_type"], ["verified_chosen", "verified_rejected"]]
+    assert all(got[i]["triage"] == "FLAG_SUSPICIOUS" for i in (2, 3, 4))
+    assert got[1]["warnings"] == ["unknown_rejection_type"] and got[1]["detectability"] == "none" and got[1]["corroborated"] is None and got[1]["triage"] == "NEEDS_JUDGE"
+
+
+def test_unfinished_components_are_an_error(spark):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(40)], "a int, b int")
+    assert {r["component"] for r in dedup.components(edges, "a", "b").collect()} == {0}
+    with pytest.raises(RuntimeError):
+        dedup.components(edges, "a", "b", rounds=1)

@@ -23,7 +23,12 @@ def run(spark, value, fn, kind="string"):
         (T.audit_key, "سَلامٌ، عليكم! abc", "سلام عليكم"),
         (T.drop_ocr_controls, "ا‏ب⁧ج", "ابج"),
         (T.detached_marks, "ب َ كَ", 1),
-        (T.repair_marks, "كت َاب", "كتَاب"),
+        (lambda c: T.repair_marks(c)["text"], "\u0643 \u064f\u062a\u0628", "\u0643\u062a\u064f\u0628"),
+        (lambda c: T.repair_marks(c)["text"], "\u0643 \u064f", "\u0643 \u064f"),
+        (lambda c: T.repair_marks(c)["text"], "a \u064f\u062a", "a \u064f\u062a"),
+        (lambda c: T.repair_marks(c)["text"], "\u064f\u062a\n\u064e\u0628 (\u064f\u062a", "\u062a\u064f\n\u0628\u064e (\u062a\u064f"),
+        (lambda c: T.repair_marks(c)["joins"], "\u0643 \u064f\u062a  \u064e\u0628 \u0643  \u064e\u0628", 2),
+        (lambda c: T.repair_marks(c)["moves"], "\u064f\u062a \u064e\u0628 .\u064e\u0628", 2),
         (T.damage_ratio, "كلمة " + "ب" * 20, 0.5),
         (T.damage_snippet, "سطر أول\nسطر " + "ط" * 30 + " آخر", "سطر " + "ط" * 30 + " آخر"),
         (T.clean_meaning, "معنى -- آخر  --- ", "معنى   آخر"),
