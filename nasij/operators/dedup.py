@@ -23,9 +23,10 @@ def shingles(c: Column, size: int) -> Column:
     an empty one has none."""
 
     def runs(w: Column) -> Column:
-        at = F.sequence(F.lit(1), F.greatest(F.size(w) - size + 1, F.lit(1)))
-        found = F.transform(at, lambda i: F.xxhash64(F.array_join(F.slice(w, i, F.lit(size)), " ")))
-        return F.when(F.size(w) > 0, F.array_distinct(found)).otherwise(F.array().cast("array<bigint>"))
+        # each run is hashed word by word, in place
+        heads = F.slice(w, F.lit(1), F.greatest(F.size(w) - size + 1, F.lit(0)))
+        found = F.transform(heads, lambda x, i: F.xxhash64(x, *[F.get(w, i + k) for k in range(1, size)]))
+        return F.when(F.size(w) >= size, F.array_distinct(found)).when(F.size(w) > 0, F.array(F.xxhash64(F.array_join(w, " "), F.lit(0)))).otherwise(F.array().cast("array<bigint>"))
 
     return T.let(T.words(c), runs)
 
@@ -43,11 +44,24 @@ def keep_first(df: DataFrame, key: str, text: str) -> DataFrame:
 
 def near_pairs(df: DataFrame, key: str, text: str, size: int = 5, threshold: float = 0.8) -> DataFrame:
     """doc_a < doc_b, shared, jaccard: pairs at or above the threshold."""
-    # four branches read the sets: they are computed once
-    sets = cut(df.select(F.col(key).alias("k"), F.array_sort(shingles(F.col(text), size)).alias("s")).where(F.size("s") > 0))
+    # several branches read the sets: they are computed once, and filtered only
+    # when they are written, as a filter would compute them again
+    return _near(cut(df.select(F.col(key).alias("k"), shingles(F.col(text), size).alias("s"))).where(F.size("s") > 0), threshold)
+
+
+def _near(sets: DataFrame, threshold: float) -> DataFrame:
+    """Pairs of written sets (k, s).
+
+    A set's shingles are put in order of the sets that have them, rarest first,
+    so that its prefix holds few that are common, and none that no other has.
+    """
     n = F.size("s")
-    prefix = F.slice("s", F.lit(1), n - F.ceil(n * F.lit(threshold) - 1e-9).cast("int") + 1)
-    heads = sets.select("k", n.alias("n"), F.explode(prefix).alias("h"))
+    held = sets.select("k", n.alias("n"), F.explode("s").alias("h"))
+    often = held.groupBy("h").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+    # one row for a set again: no more than the set holds
+    ordered = held.join(often, "h").groupBy("k", "n").agg(F.sort_array(F.collect_list(F.struct("c", "h"))).alias("o"))
+    length = F.col("n") - F.ceil(F.col("n") * F.lit(threshold) - 1e-9).cast("int") + 1 - (F.col("n") - F.size("o"))
+    heads = cut(ordered.where(length > 0).select("k", "n", F.explode(F.transform(F.slice("o", F.lit(1), length), lambda x: x["h"])).alias("h")))
     a, b = heads.alias("a"), heads.alias("b")
     fits = (F.col("a.k") < F.col("b.k")) & (F.least("a.n", "b.n") >= F.lit(threshold) * F.greatest("a.n", "b.n") - 1e-9)
     met = a.join(b, (F.col("a.h") == F.col("b.h")) & fits).select(F.col("a.k").alias("doc_a"), F.col("b.k").alias("doc_b")).distinct()
@@ -59,14 +73,13 @@ def near_pairs(df: DataFrame, key: str, text: str, size: int = 5, threshold: flo
 
 def status(df: DataFrame, key: str, text: str, size: int = 5, threshold: float = 0.8) -> DataFrame:
     """key, sha256, shingle_count, status: near duplicates are flagged only."""
-    base = df.select(F.col(key), F.col(text), fingerprint(F.col(text)).alias("sha256"))
-    first = base.groupBy("sha256").agg(F.min(key).alias("_first"))
-    base = base.join(first, "sha256")
-    kept = base.where(F.col(key) == F.col("_first"))
-    pairs = near_pairs(kept, key, text, size, threshold)
-    near = pairs.select(F.col("doc_a").alias(key)).union(pairs.select(F.col("doc_b").alias(key))).distinct().withColumn("_near", F.lit(True))
-    state = F.when(F.col(key) != F.col("_first"), "exact_duplicate").when(F.col("_near"), "near_duplicate_flagged").otherwise("unique")
-    return base.join(near, key, "left").select(key, "sha256", F.size(shingles(F.col(text), size)).cast("long").alias("shingle_count"), state.alias("status"))
+    base = cut(df.select(F.col(key).alias("k"), fingerprint(F.col(text)).alias("sha256"), shingles(F.col(text), size).alias("s")))
+    first = base.groupBy("sha256").agg(F.min("k").alias("_first"))
+    light = base.select("k", "sha256", F.size("s").cast("long").alias("shingle_count")).join(first, "sha256")
+    pairs = _near(base.join(first.select(F.col("_first").alias("k")), "k", "left_semi").where(F.size("s") > 0).select("k", "s"), threshold)
+    near = pairs.select(F.explode(F.array("doc_a", "doc_b")).alias("k")).distinct().withColumn("_near", F.lit(True))
+    state = F.when(F.col("k") != F.col("_first"), "exact_duplicate").when(F.col("_near"), "near_duplicate_flagged").otherwise("unique")
+    return light.join(near, "k", "left").select(F.col("k").alias(key), "sha256", "shingle_count", state.alias("status"))
 
 
 def field_duplicates(df: DataFrame, key: str, fields: list[str], size: int = 3, threshold: float = 0.8) -> DataFrame:
@@ -103,13 +116,19 @@ def pair_collapse(df: DataFrame, a: str, b: str, threshold: float = 0.8, size: i
 
 
 def pair_distribution(df: DataFrame, value: str) -> DataFrame:
-    """One row: max, p90 (descending), upper median and counts over bounds."""
-    s = F.sort_array(F.collect_list(value), asc=False)
-    n = F.count(value)
-    return df.agg(
-        n.alias("n"), F.max(value).alias("max"), F.element_at(s, F.floor(n * 0.1).cast("int") + 1).alias("p90"), F.element_at(F.sort_array(F.collect_list(value)), F.floor(n / 2).cast("int") + 1).alias("median"),
-        *[F.count_if(F.col(value) >= x).alias(f"ge_{int(x * 100)}") for x in (0.95, 0.9, 0.8, 0.7, 0.6)],
-    )
+    """One row: max, p90 (descending), upper median and counts over bounds.
+
+    The two are values at a rank: equal values are counted first, and the ranks
+    then run over the different values alone.
+    """
+    counted = df.where(F.col(value).isNotNull()).groupBy(F.col(value).alias("v")).agg(F.count(F.lit(1)).alias("c"))
+    up = Window.orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    n = F.sum("c").over(Window.partitionBy())
+    ranked = counted.select("v", "c", n.alias("n"), F.sum("c").over(up).alias("upto"))
+    median = F.min(F.when(F.col("upto") > F.floor(F.col("n") / 2), F.col("v")))
+    p90 = F.min(F.when(F.col("upto") >= F.col("n") - F.floor(F.col("n") * 0.1), F.col("v")))
+    over = [F.coalesce(F.sum(F.when(F.col("v") >= x, F.col("c"))), F.lit(0)).cast("long").alias(f"ge_{int(x * 100)}") for x in (0.95, 0.9, 0.8, 0.7, 0.6)]
+    return ranked.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.max("v").alias("max"), p90.alias("p90"), median.alias("median"), *over)
 
 
 def cross_file(left: DataFrame, left_key: str, left_text: str, right: DataFrame, right_key: str, right_text: str) -> DataFrame:
@@ -166,7 +185,7 @@ def lsh_candidates(df: DataFrame, key: str, text: str, size: int = 5, permutatio
     """
     loose = max(0.3, threshold - 0.2)
     rows = max(r for r in range(1, permutations + 1) if (r / permutations) ** (1 / r) <= loose)
-    sets = cut(df.select(F.col(key).alias("k"), minhash(F.col(text), size, permutations).alias("m")).where("m is not null"))
+    sets = cut(df.select(F.col(key).alias("k"), minhash(F.col(text), size, permutations).alias("m"))).where("m is not null")
     bands = F.transform(F.sequence(F.lit(0), F.lit(permutations // rows - 1)), lambda b: F.xxhash64(b, F.slice("m", b * rows + 1, F.lit(rows))))
     keyed = sets.select("k", F.explode(bands).alias("b"))
     met = keyed.alias("a").join(keyed.alias("c"), (F.col("a.b") == F.col("c.b")) & (F.col("a.k") < F.col("c.k"))).select(F.col("a.k").alias("doc_a"), F.col("c.k").alias("doc_b")).distinct()

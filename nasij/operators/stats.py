@@ -129,6 +129,11 @@ def diversity_flags(distinct2: Column, neighbour: Column, near_rate: Column, tem
     ))
 
 
+def distinct_pairs(df: DataFrame, a: str, b: str) -> DataFrame:
+    """The pairs of values that occur."""
+    return df.select(a, b).distinct()
+
+
 def split_feasibility(df: DataFrame, doc: str) -> DataFrame:
     """Parents, records, largest share in percent (one decimal), possible splits."""
     sizes = df.groupBy(doc).agg(F.count(F.lit(1)).alias("n"))

@@ -10,8 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from nasij import case_queries
 from nasij.functions import text as T
-from nasij.operators import chunk, decisions, dedup, facts, formats, judge, leakage, ocr, quality, similarity, stats
+from nasij.operators import chunk, decisions, dedup, formats, judge, leakage, ocr, quality, similarity, stats
 from nasij.plans import jobs
 
 _ALL: dict = {}
@@ -29,11 +30,11 @@ def query(sql: str | None = None):
 
 
 def queries() -> dict:
-    return dict(_ALL)
+    return _ALL | case_queries.queries()
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_SQL)
+    return _SQL | case_queries.oracle_sql()
 
 
 def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
@@ -79,10 +80,15 @@ def near_dup_pairs_5(spark, d):
 
 
 def _turns(spark, d):
-    return _t(spark, d, "conversations").withColumn("rec", F.col("conv_id") * 1000 + F.col("turn"))
+    """The turns, and of every fifth conversation once more: of the even ones as
+    they are, of the odd ones with a word more."""
+    t = _t(spark, d, "conversations").select("conv_id", "turn", "text", (F.col("conv_id") * 1000 + F.col("turn")).alias("rec"))
+    again = t.where("conv_id % 5 = 0").select("conv_id", "turn", F.when(F.col("conv_id") % 2 == 0, F.col("text")).otherwise(F.concat("text", F.lit(" more"))).alias("text"), (F.col("rec") + 500).alias("rec"))
+    return t.unionByName(again)
 
 
-_TURNS = "(SELECT *, conv_id * 1000 + turn AS rec FROM conversations)"
+_TURNS = """(SELECT conv_id, turn, text, conv_id * 1000 + turn AS rec FROM conversations
+UNION ALL SELECT conv_id, turn, CASE WHEN conv_id % 2 = 0 THEN text ELSE text || ' more' END, conv_id * 1000 + turn + 500 FROM conversations WHERE conv_id % 5 = 0)"""
 
 
 @query(_pairs_sql(_TURNS, "rec", 3) + "SELECT * FROM pairs")
@@ -112,12 +118,16 @@ def dup_components(spark, d):
     return dedup.components(dedup.near_pairs(_docs(spark, d), "doc_id", "text"), "doc_a", "doc_b")
 
 
+_ONCE = f"(SELECT * FROM {_TURNS} QUALIFY row_number() OVER (PARTITION BY sha256({CANON}) ORDER BY rec) = 1)"
+
+
 @query(
-    rf"""WITH r AS (SELECT *, sha256({CANON}) AS sha FROM {_TURNS}), f AS (SELECT sha, min(rec) AS a FROM r GROUP BY sha)
-SELECT 'EXACT_DUP' AS code, 'text' AS field, a, rec AS b FROM r JOIN f USING (sha) WHERE rec <> a"""
+    _pairs_sql(_ONCE, "rec", 3)
+    + rf""", r AS (SELECT *, sha256({CANON}) AS sha FROM {_TURNS}), f AS (SELECT sha, min(rec) AS a FROM r GROUP BY sha)
+SELECT 'EXACT_DUP' AS code, 'text' AS field, a, rec AS b, 1.0::DOUBLE AS jaccard FROM r JOIN f USING (sha) WHERE rec <> a UNION ALL SELECT 'NEAR_DUP', 'text', doc_a, doc_b, jaccard FROM pairs"""
 )
-def field_duplicates_exact(spark, d):
-    return dedup.field_duplicates(_turns(spark, d), "rec", ["text"]).where("code = 'EXACT_DUP'").select("code", "field", "a", "b")
+def field_duplicates(spark, d):
+    return dedup.field_duplicates(_turns(spark, d), "rec", ["text"])
 
 
 def _replies(spark, d):
@@ -127,6 +137,14 @@ def _replies(spark, d):
 
 
 _REPLIES = "(SELECT conv_id, turn, text AS prompt, reply FROM (SELECT *, lead(text) OVER (PARTITION BY conv_id ORDER BY turn) AS reply, lead(role) OVER (PARTITION BY conv_id ORDER BY turn) AS nr FROM conversations) WHERE role = 'user' AND nr = 'assistant')"
+def _echoes(spark, d):
+    """Prompts and replies; every fourth conversation repeats its prompt, every
+    fourth but one with a word more."""
+    c = F.col("conv_id") % 4
+    return _replies(spark, d).withColumn("reply", F.when(c == 0, F.col("prompt")).when(c == 1, F.concat("prompt", F.lit(" indeed"))).otherwise(F.col("reply")))
+
+
+_ECHOES = f"(SELECT conv_id, turn, prompt, CASE conv_id % 4 WHEN 0 THEN prompt WHEN 1 THEN prompt || ' indeed' ELSE reply END AS reply FROM {_REPLIES})"
 _JACC = r"""WITH w AS (SELECT conv_id, turn, regexp_extract_all(prompt, '\S+') AS p, regexp_extract_all(reply, '\S+') AS r FROM {r}),
 s AS (SELECT conv_id, turn, CASE WHEN len(p) = 0 THEN [] ELSE list_distinct(list_transform(range(1, greatest(2, len(p) - 1)), lambda i: array_to_string(list_slice(p, i, i + 2), ' '))) END AS a,
   CASE WHEN len(r) = 0 THEN [] ELSE list_distinct(list_transform(range(1, greatest(2, len(r) - 1)), lambda i: array_to_string(list_slice(r, i, i + 2), ' '))) END AS b FROM w),
@@ -139,9 +157,9 @@ def pair_similarity(spark, d):
     return _replies(spark, d).select("conv_id", "turn", dedup.jaccard(F.col("prompt"), F.col("reply")).alias("jaccard"))
 
 
-@query(_JACC + "SELECT conv_id, turn, jaccard FROM j WHERE jaccard >= 0.05")
+@query(_JACC.replace(_REPLIES, _ECHOES) + f"SELECT conv_id, turn, jaccard FROM j JOIN {_ECHOES} USING (conv_id, turn) WHERE jaccard >= 0.8 OR trim(regexp_replace(prompt, '\\s+', ' ', 'g')) = trim(regexp_replace(reply, '\\s+', ' ', 'g'))")
 def pair_collapse(spark, d):
-    return dedup.pair_collapse(_replies(spark, d), "prompt", "reply", threshold=0.05).select("conv_id", "turn", "jaccard")
+    return dedup.pair_collapse(_echoes(spark, d), "prompt", "reply").select("conv_id", "turn", "jaccard")
 
 
 @query(
@@ -153,9 +171,14 @@ def pair_distribution(spark, d):
     return dedup.pair_distribution(pair_similarity(spark, d), "jaccard")
 
 
-@query(f"SELECT b.item_id, min(d.doc_id) AS first_right FROM benchmark b JOIN documents d ON sha256(trim(regexp_replace(b.text, '\\s+', ' ', 'g'))) = sha256(trim(regexp_replace(d.text, '\\s+', ' ', 'g'))) GROUP BY 1")
+@query(rf"""WITH l AS (SELECT item_id::BIGINT AS item_id, text FROM benchmark UNION ALL SELECT doc_id + 1000000, '  ' || replace(text, ' ', '  ') FROM documents WHERE doc_id % 10 = 0)
+SELECT l.item_id, min(d.doc_id) AS first_right FROM l JOIN documents d ON sha256({CANON.replace("text", "l.text")}) = sha256({CANON.replace("text", "d.text")}) GROUP BY 1""")
 def cross_file(spark, d):
-    return dedup.cross_file(_t(spark, d, "benchmark"), "item_id", "text", _docs(spark, d), "doc_id", "text")
+    """The benchmark, and every tenth document with its spaces doubled."""
+    docs = _docs(spark, d)
+    again = docs.where("doc_id % 10 = 0").select((F.col("doc_id") + 1_000_000).alias("item_id"), F.concat(F.lit("  "), F.replace("text", F.lit(" "), F.lit("  "))).alias("text"))
+    left = _t(spark, d, "benchmark").select(F.col("item_id").cast("long").alias("item_id"), "text").unionByName(again)
+    return dedup.cross_file(left, "item_id", "text", docs, "doc_id", "text")
 
 
 @query("SELECT doc_id, source, lang FROM documents QUALIFY row_number() OVER (PARTITION BY source, lang ORDER BY n_chars DESC, doc_id) = 1")
@@ -259,12 +282,6 @@ def text_windows(spark, d):
     return _docs(spark, d).select("doc_id", F.posexplode(T.windows(F.col("text"))).alias("i", "w")).select("doc_id", F.col("i").cast("long").alias("i"), F.md5("w").alias("body"))
 
 
-@query(r"SELECT page_id, length(regexp_replace(html, '<[^>]*>', '', 'g')) AS chars, len(regexp_extract_all(html, '(?i)<p[ >]')) AS paragraphs, regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1) AS title FROM pages")
-def page_markup(spark, d):
-    h = F.col("html")
-    return _t(spark, d, "pages").select("page_id", F.length(F.regexp_replace(h, "<[^>]*>", "")).cast("long").alias("chars"), F.regexp_count(h, F.lit("(?i)<p[ >]")).cast("long").alias("paragraphs"), F.regexp_extract(h, "(?is)<title[^>]*>(.*?)</title>", 1).alias("title"))
-
-
 # --- profile ----------------------------------------------------------------------
 
 _LEN = r"(SELECT *, len(regexp_extract_all(text, '\S+')) AS tokens FROM documents)"
@@ -301,12 +318,17 @@ def region_rollup(spark, d):
     return stats.distribution(_len(spark, d), "source", "doc_id", "tokens")
 
 
+_REGION = "CASE WHEN doc_id % 40 = 0 THEN 'northern' WHEN doc_id % 40 < 4 THEN 'southern' WHEN doc_id % 3 = 0 THEN 'najdi' WHEN doc_id % 3 = 1 THEN 'western' ELSE 'eastern' END"
+
+
 @query(
-    f"""WITH s AS (SELECT lang, sum(tokens)::BIGINT AS tokens FROM {_LEN} GROUP BY lang), f AS (SELECT (array_agg(tokens ORDER BY tokens))[CAST(floor(count(*) / 2) AS INT) + 1] AS mid, max(tokens) AS top, count(*) AS g FROM s)
-SELECT lang, tokens, tokens / mid AS vs_median, tokens / top AS vs_max FROM s, f WHERE g >= 3 AND tokens < 0.5 * mid"""
+    f"""WITH s AS (SELECT {_REGION} AS region, sum(tokens)::BIGINT AS tokens FROM {_LEN} GROUP BY 1), f AS (SELECT (array_agg(tokens ORDER BY tokens))[CAST(floor(count(*) / 2) AS INT) + 1] AS mid, max(tokens) AS top, count(*) AS g FROM s)
+SELECT region, tokens, tokens / mid AS vs_median, tokens / top AS vs_max FROM s, f WHERE g >= 3 AND tokens < 0.5 * mid"""
 )
 def thin_regions(spark, d):
-    return stats.thin_groups(_len(spark, d), "lang", "tokens")
+    i = F.col("doc_id")
+    region = F.when(i % 40 == 0, "northern").when(i % 40 < 4, "southern").when(i % 3 == 0, "najdi").when(i % 3 == 1, "western").otherwise("eastern")
+    return stats.thin_groups(_len(spark, d).withColumn("region", region), "region", "tokens")
 
 
 @query("SELECT lang AS value, count(*) AS n FROM documents GROUP BY lang")
@@ -329,7 +351,7 @@ def evenly_spaced_sample(spark, d):
 
 @query("SELECT DISTINCT source, lang FROM documents")
 def source_language_pairs(spark, d):
-    return _docs(spark, d).select("source", "lang").distinct()
+    return stats.distinct_pairs(_docs(spark, d), "source", "lang")
 
 
 @query("SELECT CASE WHEN count(DISTINCT source) = 1 THEN min(source) ELSE 'Corpus' END AS title FROM documents")
@@ -362,7 +384,7 @@ def entropy_lang(spark, d):
     return stats.spread(_docs(spark, d), "lang", ["en", "fr", "de", "es", "ar"])
 
 
-@query("WITH s AS (SELECT conv_id, count(*) AS n FROM conversations GROUP BY conv_id) SELECT count(*) AS parents, sum(n)::BIGINT AS records, max(n) AS largest, max(n) / sum(n) AS largest_share, count(*) >= 2 AS two_way, count(*) >= 3 AS three_way FROM s")
+@query("WITH s AS (SELECT conv_id, count(*) AS n FROM conversations GROUP BY conv_id) SELECT count(*) AS parents, sum(n)::BIGINT AS records, max(n) AS largest, round(100.0 * max(n) / sum(n), 1) AS largest_share, count(*) >= 2 AS two_way, count(*) >= 3 AS three_way FROM s")
 def split_feasibility(spark, d):
     return stats.split_feasibility(_t(spark, d, "conversations"), "conv_id")
 
@@ -439,11 +461,15 @@ def encoding_findings(spark, d):
     return _docs(spark, d).withColumn("codes", codes).select("doc_id", has("REPLACEMENT_CHAR").alias("replaced"), has("CONTROL_CHARS").alias("controls"), has("INVISIBLE_CHARS").alias("invisible"), formats.folded_orthography(F.col("text")).alias("folded"))
 
 
-@query()
+@query(
+    "SELECT doc_id, code FROM documents JOIN (VALUES (0, 'NOT_NFC'), (1, 'MOJIBAKE'), (2, 'REPLACEMENT_CHAR'), (3, 'INVISIBLE_CHARS')) e(c, code) ON doc_id % 5 = c"
+)
 def encoding_costly(spark, d):
-    """Composition and mojibake tests have no SQL form."""
-    c = F.col("text")
-    return _docs(spark, d).select("doc_id", F.explode(formats.encoding_findings(c, T.nfc(c), T.repair_encoding(c))).alias("x")).select("doc_id", "x.*")
+    """Composition and mojibake, on a word of each kind: no SQL rule for them."""
+    words = F.array(*map(F.lit, ("cafe\u0301", "caf\u00c3\u00a9", "caf\ufffd", "ca\u200bfe", "caf\u00e9")))
+    rows = _docs(spark, d).select("doc_id", F.element_at(words, (F.pmod("doc_id", F.lit(5)) + 1).cast("int")).alias("t"))
+    c = F.col("t")
+    return rows.select("doc_id", F.explode(formats.encoding_findings(c, T.nfc(c), T.repair_encoding(c))).alias("x")).select("doc_id", "x.code")
 
 
 @query(
@@ -469,7 +495,17 @@ def secret_scan(spark, d):
 
 @query(rf"SELECT CASE WHEN doc_id % 2 = 0 THEN 'a' ELSE 'b' END AS part, count(*) AS n FROM documents GROUP BY 1")
 def partition_counts(spark, d):
-    return _docs(spark, d).groupBy(F.when(F.col("doc_id") % 2 == 0, "a").otherwise("b").alias("part")).agg(F.count(F.lit(1)).alias("n"))
+    return stats.value_counts(_docs(spark, d), F.when(F.col("doc_id") % 2 == 0, "a").otherwise("b")).select(F.col("value").alias("part"), "n")
+
+
+@query(
+    r"""WITH s AS (SELECT regexp_extract(url, '://([^/?#]*)', 1) AS host, CASE WHEN page_id % 3 = 0 THEN 'test' ELSE 'train' END AS part FROM pages)
+SELECT host AS value, count(DISTINCT part) AS parts, min(part) AS first_part, max(part) AS last_part FROM s GROUP BY host HAVING count(DISTINCT part) > 1"""
+)
+def page_crossing(spark, d):
+    """Hosts whose pages are in two parts."""
+    rows = _t(spark, d, "pages").withColumn("part", F.when(F.col("page_id") % 3 == 0, "test").otherwise("train"))
+    return leakage.crossing(rows, F.regexp_extract("url", "://([^/?#]*)", 1), "part")
 
 
 def _parts(spark, d):
@@ -495,16 +531,6 @@ def documents_disjoint(spark, d):
     return leakage.documents_disjoint(rows, "conv_id", "p")
 
 
-@query(
-    """WITH r AS (SELECT conv_id, CASE WHEN role = 'user' THEN 'chosen' ELSE 'rejected' END AS half, CASE WHEN turn < 2 THEN 'train' ELSE 'test' END AS p FROM conversations),
-g AS (SELECT conv_id, count(DISTINCT half) AS halves, count(DISTINCT p) AS parts FROM r GROUP BY 1)
-SELECT conv_id, CASE WHEN halves < 2 THEN 'HALF_PAIR' WHEN parts > 1 THEN 'SPLIT_PAIR' END AS code, halves, parts FROM g WHERE halves < 2 OR parts > 1"""
-)
-def pairs_intact(spark, d):
-    rows = _t(spark, d, "conversations").withColumn("half", F.when(F.col("role") == "user", "chosen").otherwise("rejected")).withColumn("p", F.when(F.col("turn") < 2, "train").otherwise("test"))
-    return leakage.pairs_intact(rows, "conv_id", "half", "p")
-
-
 @query(
     """WITH r AS (SELECT CASE WHEN doc_id % 7 = 0 THEN 'bad id ' || doc_id ELSE source || '_c' || lpad(doc_id::VARCHAR, 4, '0') END AS chunk_id, source FROM documents)
 SELECT 'UNPARSEABLE_ID' AS code, chunk_id AS what FROM r WHERE NOT regexp_full_match(chunk_id, '.+_c[0-9]{4,}')
@@ -537,20 +563,31 @@ def hash_embedding(spark, d):
     return similarity.hashed(_t(spark, d, "benchmark"), "item_id", "text")
 
 
-@query("SELECT a.vec_id AS a, b.vec_id AS b, list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) AS cosine FROM embeddings a JOIN embeddings b ON a.label = b.label AND a.vec_id < b.vec_id")
-def cosine_pairs(spark, d):
+@query(
+    """WITH f AS (SELECT label, min(vec_id) AS a FROM embeddings GROUP BY label)
+SELECT a, e.vec_id AS b, list_cosine_similarity(x.embedding::DOUBLE[], e.embedding::DOUBLE[]) AS cosine FROM f JOIN embeddings x ON x.vec_id = a JOIN embeddings e ON e.label = f.label AND e.vec_id <> a"""
+)
+def cosine_to_first(spark, d):
+    """Each vector against the first of its label: one row for a vector."""
     e = _t(spark, d, "embeddings")
-    a, b = e.select(F.col("vec_id").alias("a"), F.col("embedding").alias("x"), "label"), e.select(F.col("vec_id").alias("b"), F.col("embedding").alias("y"), "label")
-    return a.join(b, (a.label == b.label) & (F.col("a") < F.col("b"))).select("a", "b", similarity.cosine(F.col("x"), F.col("y")).alias("cosine"))
+    first = e.groupBy("label").agg(F.min_by(F.struct(F.col("vec_id").alias("a"), F.col("embedding").alias("x")), "vec_id").alias("f")).select("label", "f.*")
+    return e.join(first, "label").where("vec_id <> a").select("a", F.col("vec_id").alias("b"), similarity.cosine(F.col("x"), F.col("embedding")).alias("cosine"))
 
 
 @query(
-    """WITH b AS (SELECT vec_id AS bid, embedding[1]::DOUBLE AS v FROM embeddings WHERE vec_id < 120)
-SELECT vec_id, 100.0 * count_if(b.v < embedding[1]::DOUBLE) / count(*) AS percentile FROM embeddings, b WHERE vec_id <> bid GROUP BY vec_id"""
+    """WITH c AS (SELECT a.vec_id, list_cosine_similarity(a.embedding::DOUBLE[], z.embedding::DOUBLE[]) AS own FROM embeddings a, (SELECT embedding FROM embeddings QUALIFY row_number() OVER (ORDER BY vec_id) = 1) z),
+b AS (SELECT vec_id AS bid, own AS v FROM c QUALIFY row_number() OVER (ORDER BY md5(vec_id::VARCHAR), vec_id) <= 120)
+SELECT vec_id, 100.0 * count_if(b.v < own) / count(*) AS percentile FROM c, b WHERE vec_id <> bid GROUP BY vec_id"""
 )
 def percentile_in_baseline(spark, d):
-    e = _t(spark, d, "embeddings").select("vec_id", F.col("embedding")[0].cast("double").alias("own"))
-    return similarity.percentile_in(e, "vec_id", "own", e.where("vec_id < 120"), "vec_id", "own")
+    """Cosine with the first vector, ranked among those of 120 vectors that a
+    hash draws from all ids."""
+    e = _t(spark, d, "embeddings")
+    # one row
+    one = e.agg(F.min_by("embedding", "vec_id").alias("z"))
+    scored = e.crossJoin(F.broadcast(one)).select("vec_id", similarity.cosine(F.col("z"), F.col("embedding")).alias("own"))
+    drawn = scored.orderBy(F.md5(F.col("vec_id").cast("string")), "vec_id").limit(120)
+    return similarity.percentile_in(scored, "vec_id", "own", drawn, "vec_id", "own")
 
 
 @query()
@@ -574,7 +611,8 @@ def _cases(spark, d):
 @query(
     f"""WITH b AS (SELECT *, CASE WHEN pct >= 95 THEN 'high' WHEN pct < 50 THEN 'low' WHEN pct IS NOT NULL THEN 'middle' END AS band FROM {_CASES}),
 v AS (SELECT *, CASE WHEN fact = 'CONTRADICTED' THEN 'FAIL_CONTRADICTED' WHEN fact = 'NO_CHECKABLE_CLAIMS' THEN 'NO_FACT_COVERAGE' WHEN fact = 'SUPPORTED' AND band = 'high' THEN 'PASS' ELSE 'REVIEW' END AS verdict,
-CASE WHEN fact = 'CONTRADICTED' THEN 'fail' WHEN band IS NULL THEN CASE WHEN fact = 'SUPPORTED' THEN 'pass' END WHEN band = 'low' THEN 'fail' WHEN band = 'high' THEN 'pass' WHEN fact = 'SUPPORTED' THEN 'pass' END AS leaning FROM b)
+CASE WHEN fact = 'CONTRADICTED' THEN 'fail' WHEN fact = 'NO_CHECKABLE_CLAIMS' THEN CASE band WHEN 'high' THEN 'pass' WHEN 'low' THEN 'fail' END WHEN band IS NULL THEN CASE WHEN fact = 'SUPPORTED' THEN 'pass' ELSE 'fail' END
+WHEN fact = 'SUPPORTED' THEN CASE band WHEN 'high' THEN NULL WHEN 'low' THEN 'fail' ELSE 'pass' END WHEN band = 'low' THEN 'fail' WHEN band = 'high' THEN 'pass' END AS leaning FROM b)
 SELECT doc_id, verdict, leaning, CASE WHEN verdict = 'FAIL_CONTRADICTED' THEN 'REJECT' WHEN conforms IS NULL THEN 'HOLD_FOR_REVIEW' WHEN NOT conforms THEN CASE WHEN form = 'dictionary_entry' THEN 'REJECT' ELSE 'HOLD_FOR_REVIEW' END WHEN verdict = 'PASS' THEN 'ACCEPT' ELSE 'HOLD_FOR_REVIEW' END AS decision FROM v"""
 )
 def sft_decisions(spark, d):
@@ -619,20 +657,6 @@ def rubric_scores(spark, d):
     return rows.select("conv_id", "turn", F.round("question_naturalness", 6).alias("q"), F.round("answer_naturalness", 6).alias("a"), F.round("teacher_confidence", 6).alias("confidence"))
 
 
-@query(
-    """WITH o AS (SELECT user_id, event_id, ts, CASE WHEN lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) IS NULL OR epoch(ts) - epoch(lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id)) > 3600 THEN 1 ELSE 0 END AS h FROM events),
-i AS (SELECT *, sum(h) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS island FROM o)
-SELECT user_id, island::BIGINT AS island, count(*) AS n, min(event_id) AS first_event FROM i GROUP BY 1, 2"""
-)
-def islands(spark, d):
-    """The running group number that entries are built with."""
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
-    seconds = F.col("ts").cast("timestamp").cast("double")
-    gap = seconds - F.lag(seconds).over(w)
-    e = _t(spark, d, "events").withColumn("h", F.when(gap.isNull() | (gap > 3600), 1).otherwise(0))
-    return e.withColumn("island", F.sum("h").over(w.rowsBetween(Window.unboundedPreceding, 0))).groupBy("user_id", "island").agg(F.count(F.lit(1)).alias("n"), F.min("event_id").alias("first_event"))
-
-
 @query(
     """WITH s AS (SELECT conv_id::VARCHAR AS sample_id FROM (SELECT DISTINCT conv_id FROM conversations)), n AS (SELECT least(ceil(300 / count(*)), 3)::BIGINT AS k FROM s),
 r AS (SELECT sample_id, i AS kind_no, ['verbosity', 'wrong_register', 'missing_information'][i + 1] AS rejection_type, row_number() OVER (ORDER BY sample_id, i) AS place FROM s, n, range(0, 3) r(i) WHERE i < k)
@@ -660,11 +684,11 @@ def integrity(spark, d):
     return dedup.integrity(_docs(spark, d), "source", ["text"])
 
 
-@query("SELECT conv_id, turn FROM " + _REPLIES + " WHERE trim(prompt) = trim(reply)")
+@query("SELECT conv_id, turn FROM " + _ECHOES + " WHERE trim(prompt) = trim(reply)")
 def regeneration_targets(spark, d):
     from nasij.operators.generation import regeneration_targets as same
 
-    return same(_replies(spark, d), "prompt", "reply").select("conv_id", "turn")
+    return same(_echoes(spark, d), "prompt", "reply").select("conv_id", "turn")
 
 
 @query(r"SELECT doc_id, array_to_string(list_sort(list_filter(['und', 'der', 'the', 'les'], lambda m: list_contains(regexp_extract_all(text, '[A-Za-z]+'), m))), ' ') AS marks FROM documents")
@@ -685,22 +709,6 @@ def lsh_candidates(spark, d):
     return dedup.lsh_candidates(_docs(spark, d), "doc_id", "text")
 
 
-@query()
-def dictionary_facts(spark, d):
-    """Offsets of all matches have no SQL form."""
-    rows = _docs(spark, d).withColumn("f", facts.extracted(F.col("text"), "najdi_popular"))
-    return facts.fact_rows(rows, "doc_id", "f")
-
-
-@query(
-    r"""WITH w AS (SELECT page_id AS id, url FROM pages), s AS (SELECT id, CASE WHEN id % 3 = 0 THEN 'test' ELSE 'train' END AS part, url FROM w)
-SELECT url AS value, count(DISTINCT part) AS parts, min(part) AS first_part, max(part) AS last_part FROM s GROUP BY url HAVING count(DISTINCT part) > 1"""
-)
-def page_crossing(spark, d):
-    rows = _t(spark, d, "pages").withColumn("part", F.when(F.col("page_id") % 3 == 0, "test").otherwise("train"))
-    return leakage.crossing(rows, F.col("url"), "part")
-
-
 @query(
     """WITH w AS (SELECT event_id AS id, (event_id % 7 * 100)::INT AS left_, (event_id % 40)::INT AS line, (event_id // 400)::INT AS page, event_type AS text FROM events)
 SELECT page, line, string_agg(text, ' ' ORDER BY left_ DESC, text) AS text, count(*) AS n FROM w GROUP BY 1, 2"""
