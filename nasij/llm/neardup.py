@@ -9,7 +9,7 @@ more than half of its parent's classes does not get smaller by branching (a
 group of near copies shares nearly all minhashes): it is dealt to blocks, and
 every two blocks meet. At similarity 0.8 a pair stays together in a tree of d
 levels with a chance of 0.8 * 0.96 ** (d - 1), so it misses all nine trees with
-one below 4e-5, and fails its sketch with one of about 1e-5.
+one below 1e-5, and fails its sketch with one of about 1e-5.
 
 Sketch links only gather classes into clusters, by connected components. Inside
 a cluster links are confirmed on full sets: a class looks at all that are not
@@ -37,7 +37,7 @@ from nasij.llm.common import Written, fresh, ready, text_bytes
 from nasij.llm.graph import connected_components
 from nasij.llm.shingles import Minhash, shingle_set
 
-TREES, BRANCH, DEPTH = 9, 2, 5
+TREES, BRANCH, DEPTH = 9, 2, 3
 #: Minhashes: so many serve as paths, and one byte of each as the sketch.
 PATHS, SKETCH = 32, 64
 #: Largest node that is compared at once; shingles of a block of a cluster.
