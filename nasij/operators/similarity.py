@@ -10,8 +10,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from nasij.functions import text as T
+from nasij.lineage import cut
 
 DIMENSIONS, GRAM = 512, 4
+#: Rarest tokens by which a record's first partners are found, two by each.
+FIRST_TOKENS = 8
 
 
 def grams(c: Column, n: int = GRAM) -> Column:
@@ -110,15 +113,31 @@ def sequence_ratio(a: Column, b: Column) -> Column:
 
 
 def nearest_ratio(df: DataFrame, key: str, text: str) -> DataFrame:
-    """The largest ratio of each record with another.
+    """The largest ratio of each record with another; 0 without a shared token.
 
-    Two records are compared if they share a token; the ratio is at most
-    2 * (smaller count) / (sum), and without a shared token it is 0.
+    A ratio is twice the matched tokens over both counts. A first look at
+    partners by a record's rarest tokens gives a ratio r that a better partner
+    has to reach, so it shares at least r n / (2 - r) of the record's n tokens,
+    and one of them is among the record's rarest n - r n / (2 - r) + 1: only
+    these are joined, and partners of an unfit length are left out.
     """
-    w = T.words(F.col(text))
-    base = df.select(F.col(key).alias("k"), F.col(text).alias("t"), F.size(w).alias("n"), w.alias("w"))
-    token = base.select("k", F.explode(F.array_distinct("w")).alias("x"))
-    pairs = token.alias("a").join(token.alias("b"), (F.col("a.x") == F.col("b.x")) & (F.col("a.k") != F.col("b.k"))).select(F.col("a.k").alias("k"), F.col("b.k").alias("o")).distinct()
-    both = pairs.join(base.select("k", "t"), "k").join(base.select(F.col("k").alias("o"), F.col("t").alias("u")), "o")
-    best = both.select("k", sequence_ratio(F.col("t"), F.col("u")).alias("r")).groupBy("k").agg(F.max("r").alias("r"))
-    return base.join(best, "k", "left").select(F.col("k").alias(key), F.coalesce("r", F.lit(0.0)).alias("ratio"))
+    base = cut(df.select(F.col(key).alias("k"), F.col(text).alias("t"), T.words(F.col(text)).alias("w")))
+    held = base.select("k", F.size("w").alias("n"), F.explode("w").alias("x"))
+    often = held.groupBy("x").agg(F.count(F.lit(1)).alias("c"), F.min("k").alias("lo"), F.max("k").alias("hi")).where("lo <> hi")
+    # one row for a record again: no more than its text holds
+    ordered = cut(held.join(often, "x").groupBy("k", "n").agg(F.sort_array(F.collect_list(F.struct("c", "x", "lo", "hi"))).alias("s")))
+
+    def best(pairs: DataFrame) -> DataFrame:
+        both = pairs.join(base.select("k", "t"), "k").join(base.select(F.col("k").alias("o"), F.col("t").alias("u")), "o")
+        return both.select("k", sequence_ratio(F.col("t"), F.col("u")).alias("r")).groupBy("k").agg(F.max("r").alias("r"))
+
+    near = ordered.select("k", F.explode(F.slice(F.array_distinct("s"), 1, FIRST_TOKENS)).alias("e")).select("k", F.explode(F.array("e.lo", "e.hi")).alias("o"))
+    floor = cut(best(near.where("k <> o").distinct()))
+    least = F.greatest(F.lit(1), F.ceil(F.col("r") * F.col("n") / (2 - F.col("r")) - 1e-9).cast("int"))
+    heads = ordered.join(floor, "k", "left").withColumn("r", F.coalesce("r", F.lit(0.0))).withColumn("length", F.size("s") - least + 1).where("length > 0")
+    heads = heads.select("k", "n", "r", F.explode(F.array_distinct(F.transform(F.slice("s", F.lit(1), F.col("length")), lambda e: e["x"]))).alias("x"))
+    token = base.select(F.col("k").alias("o"), F.size("w").alias("m"), F.explode(F.array_distinct("w")).alias("x"))
+    fits = (F.col("k") != F.col("o")) & (2 * F.least("n", "m") >= F.col("r") * (F.col("n") + F.col("m")) - 1e-9)
+    more = best(heads.join(token, "x").where(fits).select("k", "o").distinct())
+    every = floor.unionByName(more).groupBy("k").agg(F.max("r").alias("r"))
+    return base.join(every, "k", "left").select(F.col("k").alias(key), F.coalesce("r", F.lit(0.0)).alias("ratio"))

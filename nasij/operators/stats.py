@@ -19,8 +19,8 @@ def percentiles(df: DataFrame, value: str, by: list[str] | None = None) -> DataF
 
 
 def upper_median(c: str) -> Column:
-    """The upper of the two middle values."""
-    return F.element_at(F.sort_array(F.collect_list(c)), F.floor(F.count(c) / 2).cast("int") + 1)
+    """The upper of the two middle values: the lower one of the descending order."""
+    return F.expr(f"-percentile_disc(0.5) WITHIN GROUP (ORDER BY -`{c}`)")
 
 
 def histogram(df: DataFrame, value: str, bins: int = 12) -> DataFrame:

@@ -117,7 +117,10 @@ def plan_pairs(samples: DataFrame, target: int, kinds: list[str]) -> DataFrame:
     for, the kinds in their order, up to the target."""
     from pyspark.sql import Window
 
-    n = F.count(F.lit(1)).over(Window.partitionBy())
-    each = F.least(F.ceil(F.lit(target) / n).cast("int"), F.lit(len(kinds)))
-    rows = samples.select("sample_id", each.alias("_each")).select("sample_id", F.posexplode(F.slice(F.array(*map(F.lit, kinds)), F.lit(1), F.col("_each"))).alias("kind_no", "rejection_type"))
-    return rows.withColumn("place", F.row_number().over(Window.orderBy("sample_id", "kind_no"))).where(F.col("place") <= target).withColumn("pair_id", F.format_string("%s_dpo_%02d", "sample_id", F.col("kind_no") + 1))
+    # each sample gives a pair at least, so the first of them reach the target,
+    # and the window below has no more rows than the plan
+    each = samples.agg(F.least(F.ceil(F.lit(target) / F.greatest(F.count(F.lit(1)), F.lit(1))).cast("int"), F.lit(len(kinds))).alias("_each"))
+    first = samples.select("sample_id").orderBy("sample_id").limit(target)
+    rows = first.crossJoin(F.broadcast(each)).select("sample_id", F.posexplode(F.slice(F.array(*map(F.lit, kinds)), F.lit(1), F.col("_each"))).alias("kind_no", "rejection_type"))  # each: one row
+    rows = rows.orderBy("sample_id", "kind_no").limit(target)
+    return rows.withColumn("place", F.row_number().over(Window.orderBy("sample_id", "kind_no"))).withColumn("pair_id", F.format_string("%s_dpo_%02d", "sample_id", F.col("kind_no") + 1))
