@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from nasij.functions import text as T
-from nasij.operators import chunk, decisions, facts, generation, guards, leakage, ocr, stats
+from nasij.operators import chunk, decisions, facts, formats, generation, guards, judge, leakage, ocr, stats
 from nasij.plans import jobs
 from nasij.sources import readers
 
@@ -429,6 +429,112 @@ def diversity_flags(spark, d):
     return spark.read.parquet(f"{d}/documents.parquet").select("doc_id", F.array_join(flags, "|").alias("flags"))
 
 
+# --- judges -------------------------------------------------------------------------
+
+_GOOD = {
+    "schema_version": "judge-1", "judge_model_version": "m", "assessment": "chosen_better", "weakness_present": True, "rejection_type": "weak_organization", "type_scores": {"verbosity": 0.8},
+    "confidence": 0.75, "evidence": [{"claim": "pads", "quote_from": "rejected", "quote": "gamma"}], "notes": None,
+}
+
+
+def _reply(**changed) -> str:
+    return json.dumps(_GOOD | changed)
+
+
+def _quote(**changed) -> list:
+    return [_GOOD["evidence"][0] | changed]
+
+
+#: reply -> error type, first code, assessment, corroborated
+REPLIES = [
+    (_reply(), (None, None, "chosen_better", True)), (None, ("ProviderError", None, None, None)), ("not json", ("InvalidJSON", "INVALID_JSON", None, None)), ("```json\n" + _reply() + "\n```", ("InvalidJSON", "INVALID_JSON", None, None)),
+    ("[1]", ("InvalidJudgeOutput", "NOT_AN_OBJECT", None, None)), (_reply(verdict="AUTO_CONFIRM"), ("InvalidJudgeOutput", "RESERVED_FIELD", None, None)),
+    (json.dumps({k: v for k, v in _GOOD.items() if k != "confidence"}), ("InvalidJudgeOutput", "MISSING_FIELD", None, None)), (_reply(schema_version="judge-2"), ("InvalidJudgeOutput", "BAD_SCHEMA", None, None)),
+    (_reply(assessment="AUTO_CONFIRM"), ("InvalidJudgeOutput", "BAD_ASSESSMENT", None, None)), (_reply(weakness_present="yes"), ("InvalidJudgeOutput", "BAD_WEAKNESS", None, None)),
+    (_reply(rejection_type="other"), ("InvalidJudgeOutput", "BAD_REJECTION_TYPE", None, None)), (_reply(rejection_type_agrees_with_record="yes"), ("InvalidJudgeOutput", "BAD_AGREEMENT", None, None)),
+    (_reply(type_scores={"verbosity": 1.5}), ("InvalidJudgeOutput", "BAD_TYPE_SCORES", None, None)), (_reply(type_scores={"verbosity": True}), ("InvalidJudgeOutput", "BAD_TYPE_SCORES", None, None)),
+    (_reply(type_scores={"odd": 0.5}), ("InvalidJudgeOutput", "BAD_TYPE_SCORES", None, None)), (_reply(type_scores=None), ("InvalidJudgeOutput", "BAD_TYPE_SCORES", None, None)), (_reply(confidence=-0.1), ("InvalidJudgeOutput", "BAD_CONFIDENCE", None, None)),
+    (_reply(confidence="0.5"), ("InvalidJudgeOutput", "BAD_CONFIDENCE", None, None)), (_reply(evidence=_quote(quote="delta")), ("InvalidJudgeOutput", "BAD_EVIDENCE", None, None)), (_reply(evidence=_quote(quote_from="prompt")), ("InvalidJudgeOutput", "BAD_EVIDENCE", None, None)),
+    (_reply(evidence=_quote(explains_type="odd")), ("InvalidJudgeOutput", "BAD_EVIDENCE", None, None)), (_reply(evidence=_quote(claim="")), ("InvalidJudgeOutput", "BAD_EVIDENCE", None, None)), (_reply(evidence={}), ("InvalidJudgeOutput", "BAD_EVIDENCE", None, None)),
+    (_reply(evidence=[]), ("InvalidJudgeOutput", "WEAKNESS_WITHOUT_EVIDENCE", None, None)), (_reply(notes=3), ("InvalidJudgeOutput", "BAD_NOTES", None, None)),
+    (_reply(evidence=[], weakness_present=False, rejection_type=None, assessment="undetermined", type_scores={}), (None, None, "undetermined", None)), (_reply(rejection_type="unsupported_additions", confidence=1), (None, None, "chosen_better", False)),
+]
+
+
+@query(expected(len(REPLIES), "error_type, code, assessment, corroborated", [(i, *r[1]) for i, r in enumerate(REPLIES)]))
+def judge_replies(spark, d):
+    """Replies on a pair whose kind of rejection is of the dimension of style."""
+    got = judge.judged(F.col("reply"), F.lit("verbosity"), F.lit("alpha beta"), F.lit("alpha beta gamma"), F.lit("the source text"))
+    return dealt(spark, d, [r[0] for r in REPLIES], "reply").withColumn("j", got).select("doc_id", "j.error_type", "j.code", "j.assessment", "j.corroborated")
+
+
+_BASED = _quote(quote_from="source", quote="source text")
+
+
+def _says(assessment: str, evidence: list | None = None) -> str:
+    return _reply(assessment=assessment, evidence=evidence or _BASED)
+
+
+#: kind, reply, reply with the sides exchanged, unified verdict -> error type, verdict, called, status in the report, register signals
+SWAPS = [
+    (("verbosity", _says("chosen_better"), None, "NEEDS_JUDGE"), (None, "PASS", True, "ok", False)), (("verbosity", _says("rejected_better"), None, "AUTO_CONFIRM"), (None, "FAIL", False, "not_called", False)),
+    (("wrong_register", _says("chosen_better"), _says("rejected_better"), "NEEDS_JUDGE"), (None, "PASS", True, "ok", True)), (("wrong_register", _says("chosen_better"), _says("chosen_better"), "NEEDS_JUDGE"), ("PositionBias", "REVIEW", True, "unavailable", False)),
+    (("wrong_register", _says("chosen_better"), None, "NEEDS_JUDGE"), ("SwapPassUnavailable", "ABSTAIN", True, "unavailable", False)), (("wrong_register", None, _says("chosen_better"), "NEEDS_JUDGE"), ("ProviderError", "ABSTAIN", True, "unavailable", False)),
+    (("odd", _says("chosen_better"), None, "FLAG_SUSPICIOUS"), ("InvalidJudgeInput", "ABSTAIN", False, "not_called", False)), (("weak_organization", _says("equivalent"), _says("equivalent"), "NEEDS_JUDGE"), (None, "REVIEW", True, "ok", False)),
+    (("wrong_register", _says("chosen_better"), _says("rejected_better", _quote(quote_from="chosen")), "AUTO_CONFIRM"), (None, "PASS", False, "not_called", False)),
+]
+
+
+def _swapped(spark, d) -> DataFrame:
+    at = lambda k: F.element_at(F.array(*[F.lit(x[0][k]) for x in SWAPS]).cast("array<string>"), (F.col("c") + 1).cast("int"))
+    said = [F.lit(v).alias(n) for n, v in (("prompt", "p"), ("chosen", "alpha beta"), ("rejected", "alpha beta gamma"), ("source_text", "the source text"), ("source_region", "najdi"), ("model_version", "m"))]
+    rows = _numbered(spark, d, len(SWAPS)).select("doc_id", F.col("doc_id").cast("string").alias("source_chunk_id"), *said, at(0).alias("rejection_type"), at(1).alias("first"), at(2).alias("second"), at(3).alias("unified"))
+    return judge.judged_pairs(rows, "first", "second")
+
+
+@query(expected(len(SWAPS), "error_type, verdict", [(i, *x[1][:2]) for i, x in enumerate(SWAPS)]))
+def judged_pairs(spark, d):
+    return _swapped(spark, d).select("doc_id", "judge.error_type", judge.suite_verdict(F.col("judge")).alias("verdict"))
+
+
+@query(expected(len(SWAPS), "llm_called, judge_status, register", [(i, *x[1][2:]) for i, x in enumerate(SWAPS)]))
+def judge_dashboard(spark, d):
+    got = judge.dashboard(_swapped(spark, d), "unified", formats.dialect_markers(F.col("rejected")))
+    return got.select(F.col("source_chunk_id").cast("long").alias("doc_id"), "llm_called", "judge_status", F.col("register_signals").isNotNull().alias("register"))
+
+
+def _probe(**changed) -> dict:
+    base = {"source_chunk_id": "c1", "instruction": "i", "response": "r", "format_type": "prose", "prompt": "p", "chosen": "a", "rejected": "b", "rejection_type": "verbosity", "fixture": "classical"}
+    return base | {"expect_verdict": "PASS", "expect_fail_dimensions": [], "expect_corroborating_dimension": "style"} | changed
+
+
+#: probe -> code, what (None: sound)
+SFT_PROBES = [
+    (_probe(expect_verdict="FAIL", expect_fail_dimensions=["grounding"]), None), (_probe(instruction=""), ("MISSING", "instruction")), (_probe(expect_verdict="MAYBE"), ("BAD_VERDICT", "MAYBE")), (_probe(source_chunk_id="c9"), ("UNKNOWN_CHUNK", "c9")),
+    (_probe(expect_verdict="FAIL", expect_fail_dimensions=["odd"]), ("UNKNOWN_DIMENSION", "odd")), (_probe(expect_fail_dimensions=["grounding"]), ("PASS_WITH_FAILURES", "grounding")), (_probe(expect_verdict="FAIL"), ("FAIL_WITHOUT_DIMENSION", "")),
+    (_probe(source_chunk_id="dialect_dict_c0001"), ("RIGHTS", "dialect_dict_c0001")), (_probe(source_chunk_id="dialect_dict_c0001", fixture="probes_saudi_dialect"), None),
+]
+DPO_PROBES = [
+    (_probe(expect_verdict="REVIEW"), None), (_probe(rejection_type="odd"), ("BAD_TYPE", "odd")), (_probe(expect_corroborating_dimension="format"), ("WRONG_DIMENSION", "format")), (_probe(rejected=""), ("MISSING", "rejected")),
+    (_probe(rejection_type="weak_organization"), None),
+]
+
+
+@query(
+    "SELECT 'SFT' AS suite, doc_id::VARCHAR AS label, code, what FROM (" + expected(len(SFT_PROBES), "code, what", [(i, *p[1]) for i, p in enumerate(SFT_PROBES) if p[1]])
+    + ") UNION ALL SELECT 'DPO', doc_id::VARCHAR, code, what FROM (" + expected(len(DPO_PROBES), "code, what", [(i, *p[1]) for i, p in enumerate(DPO_PROBES) if p[1]]) + ") UNION ALL SELECT 'DPO', NULL, 'TOO_FEW_PROBES', 'wrong_register'"
+)
+def suite_problems(spark, d):
+    """A suite without a probe for one of the kinds that nothing else sees."""
+    schema = ", ".join(f"{k} {'array<string>' if isinstance(v, list) else 'string'}" for k, v in _probe().items())
+
+    def rows(probes: list) -> DataFrame:
+        return dealt(spark, d, [json.dumps(p[0]) for p in probes]).select(F.col("doc_id").cast("string").alias("label"), F.from_json("t", schema).alias("x")).select("label", "x.*")
+
+    chunks = spark.createDataFrame([("c1",), ("dialect_dict_c0001",)], "chunk_id string")
+    return judge.suite_problems(rows(SFT_PROBES), rows(DPO_PROBES), chunks)
+
+
 # --- recognised pages ---------------------------------------------------------------
 
 ENTRIES = [

@@ -1,5 +1,6 @@
 import difflib
 import itertools
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -123,11 +124,59 @@ def test_judge_helpers(spark):
     assert [x[0] for x in df.select(judge.parse_state(F.col("r"), ["a", "b"])).collect()] == [w for _, w in replies]
     cases = spark.createDataFrame([("chosen_better", "rejected_better"), ("chosen_better", "chosen_better"), ("equivalent", None)], "a string, b string")
     kept, biased = judge.swap_checked(F.col("a"), F.col("b"))
-    assert [tuple(r) for r in cases.select(kept, biased).collect()] == [("chosen_better", False), ("undecidable", True), ("equivalent", False)]
+    assert [tuple(r) for r in cases.select(kept, biased).collect()] == [("chosen_better", False), ("undetermined", True), ("equivalent", False)]
     rows = spark.createDataFrame([("p", "chosen_better", 0.9, True, [("قال", "قال كذا")]), ("q", "odd", 1.5, True, []), ("r", "equivalent", 0.5, False, [("x", "abc")])], "id string, a string, c double, w boolean, e array<struct<quote:string,source_text:string>>")
     assert {tuple(r) for r in judge.contract_findings(rows, "id", "a", "c", "w", "e").collect()} == {("q", "BAD_ASSESSMENT"), ("q", "BAD_CONFIDENCE"), ("q", "WEAKNESS_WITHOUT_EVIDENCE"), ("r", "QUOTE_NOT_IN_SOURCE")}
 
 
+def test_judge_is_asked_again_after_lapses_only():
+    calls, pauses = [], []
+
+    def flaky(user):
+        calls.append(user)
+        if len(calls) < 3:
+            raise judge.RateLimited
+        return "{}"
+
+    assert judge.patient(flaky, wait=pauses.append)("x") == "{}" and pauses == [1, 2]
+    for error, tries in ((judge.TimeoutError, 3), (judge.ProviderError, 1)):
+        seen = []
+
+        def fails(user, error=error, seen=seen):
+            seen.append(user)
+            raise error
+
+        with pytest.raises(error):
+            judge.patient(fails, wait=lambda s: None)("x")
+        assert len(seen) == tries
+    with pytest.raises(judge.ProviderError):
+        judge.patient(lambda user: " ")("x")
+
+
+def test_failures_of_a_live_judge_are_rows(spark):
+    def backend(user):
+        if user == "bad":
+            raise judge.ProviderError
+        return user
+
+    got = judge.asked_typed(spark.createDataFrame([("ok",), ("bad",)], "u string"), "u", backend)
+    assert {tuple(r) for r in got.collect()} == {("ok", "ok", None), ("bad", None, "ProviderError")}
+
+
+def test_suite_without_probes(spark):
+    fields = "label string, " + ", ".join(f"{f} string" for f in {*judge.SFT_PROBE, *judge.DPO_PROBE, "fixture", "expect_corroborating_dimension"} - {"label"}) + ", expect_fail_dimensions array<string>"
+    none = spark.createDataFrame([], fields)
+    got = {tuple(r) for r in judge.suite_problems(none, none).collect()}
+    assert got == {("SFT", None, "ALL_PASS", ""), ("DPO", None, "ALL_PASS", ""), ("DPO", None, "NO_TYPES", ""), ("DPO", None, "TOO_FEW_PROBES", "wrong_register"), ("DPO", None, "TOO_FEW_PROBES", "weak_organization")}
+
+
+def test_nearest_ratio_loses_no_partner(spark):
+    rng = random.Random(5)
+    rows = [(i, " ".join(rng.choices("the of a b c d e f g h i j k".split(), [9, 7, 3, *[1] * 10], k=rng.randint(0, 14)))) for i in range(60)]
+    got = {r["k"]: r["ratio"] for r in similarity.nearest_ratio(spark.createDataFrame(rows, "k int, t string"), "k", "t").collect()}
+    assert got == {i: max(difflib.SequenceMatcher(None, t.split(), u.split()).ratio() if t and u else 0.0 for j, u in rows if j != i) for i, t in rows}
+
+
 # --- facts
 
 
