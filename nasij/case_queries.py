@@ -192,7 +192,7 @@ def handoff_findings(spark, d):
     return guards.handoff_findings(dealt(spark, d, [*[json.dumps(r) for r, _ in HANDOFF], "{bad"]), "doc_id", "t")
 
 
-REPLIES = [
+ANSWERED = [
     ([{"question": "", "answer": "x"}, {"question": "q", "answer": "a", "thinking": "I should explain it"}, {"question": "q", "answer": "a"}, {"question": " q2 ", "answer": "b", "thinking": "why", "question_type": "Multi_Step"}],
      [("_sft_001", "q", "Meaning", "Answer:\na"), ("_sft_002", "q2", "Multi-step", "Thinking:\nwhy\n\nAnswer:\nb")]),
     ({"examples": [{"question": "q", "answer": "a", "question_type": "cause / why", "difficulty": "Hard"}]}, [("_sft_001", "q", "Cause/Why", "Answer:\na")]),
@@ -200,9 +200,9 @@ REPLIES = [
 ]
 
 
-@query(expected(len(REPLIES), "ending, question, question_type, said", [(i, *x) for i, (_, found) in enumerate(REPLIES) for x in found]).replace("doc_id, ending", "doc_id, doc_id || ending AS sample_id"))
+@query(expected(len(ANSWERED), "ending, question, question_type, said", [(i, *x) for i, (_, found) in enumerate(ANSWERED) for x in found]).replace("doc_id, ending", "doc_id, doc_id || ending AS sample_id"))
 def reply_samples(spark, d):
-    rows = dealt(spark, d, [json.dumps(r) for r, _ in REPLIES]).withColumn("chunk", F.col("doc_id").cast("string"))
+    rows = dealt(spark, d, [json.dumps(r) for r, _ in ANSWERED]).withColumn("chunk", F.col("doc_id").cast("string"))
     made = generation.samples(rows, "chunk", "t")
     return made.select(F.col("chunk_id").cast("long").alias("doc_id"), "sample_id", "question", "question_type", F.col("messages")[1]["content"].alias("said"))
 

@@ -83,3 +83,17 @@ def test_diversity_flags_at_their_bands(spark):
     one = stats.near_template_rate(spark.createDataFrame([(0.55,), (0.5,), (1.0,), (0.0,)], "s double"), "s").first()
     assert (one["near_template_rate"], one["neighbour_max"]) == (0.5, 1.0)
     assert stats.near_template_rate(spark.createDataFrame([], "s double"), "s").first()["near_template_rate"] == 0.0
+
+
+def test_reply_samples_agree_with_their_sql(spark, tmp_path):
+    import duckdb
+
+    from nasij import case_queries
+
+    spark.range(30).selectExpr("id AS doc_id").write.parquet(str(tmp_path / "documents.parquet"))
+    columns = ["doc_id", "sample_id", "question", "question_type", "said"]
+    got = [tuple(r) for r in case_queries.reply_samples(spark, str(tmp_path)).select(*columns).collect()]
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS FROM '{tmp_path}/documents.parquet/*.parquet'")
+    want = con.sql(f"SELECT {', '.join(columns)} FROM ({case_queries._SQL['reply_samples']})").fetchall()
+    assert want and sorted(got) == sorted(want)
