@@ -71,6 +71,42 @@ def test_large_nodes_and_clusters_are_split_without_loss(spark, monkeypatch):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in neardup.components(docs, size=4).collect()} == want
 
 
+def test_links_of_a_large_group_grow_with_its_size(spark, monkeypatch):
+    """Near copies in many blocks, of two texts that share a passage: whole
+    components from fewer links than rows in all trees."""
+    monkeypatch.setattr(neardup, "NODE", 8)
+    monkeypatch.setattr(neardup, "BLOCK", 2000)
+    made, real = [], neardup.grouped
+
+    def counted(df, key, fn, schema):
+        out = neardup.Written(real(df, key, fn, schema), "counted").df
+        made.append((key, out.count()))
+        return out
+
+    monkeypatch.setattr(neardup, "grouped", counted)
+    bodies = [cases.prose(7, 60), " ".join([*cases.prose(7, 60).split()[:40], *cases.prose(8, 60).split()[:20]])]
+    rows = [(i, f"{bodies[i % 5 == 0]} end{i}") for i in range(200)] + [(1000 + i, cases.prose(100 + i, 40)) for i in range(20)]
+    got = {r["doc_id"]: r["component_id"] for r in neardup.components(spark.createDataFrame(rows, "doc_id long, text string"), size=4).collect()}
+    assert got == _links(rows) and len(set(got.values())) == 22
+    assert sum(n for key, n in made if key == "node") < neardup.TREES * len(rows)
+    assert sum(n for key, n in made if key == "cluster") < 2 * len(rows)
+
+
+def test_parts_are_joined_by_one_link_each():
+    import numpy as np
+
+    part = np.array([0, 0, 0, 1, 1, 2, 3])
+    near = {(0, 3), (1, 4), (2, 5), (4, 5)}
+    looked = []
+
+    def links(i, left):
+        looked.extend((i, j) for j in left.tolist())
+        return np.array([(i, j) in near for j in left.tolist()], bool)
+
+    assert sorted(neardup._join(part, links)) == [(0, 3), (2, 5)]
+    assert not any(part[i] == part[j] for i, j in looked) and {(i, 6) for i in range(6)} <= set(looked)
+
+
 def test_copies_without_an_id_are_removed(spark):
     docs = cases.corpus(spark, 20)
     bare = docs.selectExpr("cast(null as long) as doc_id", *[c for c in docs.columns if c != "doc_id"])
