@@ -309,10 +309,11 @@ def pack(docs: DataFrame, path: str | None = None) -> DataFrame:
     inside = Window.partitionBy("sequence_id").orderBy("offset").rowsBetween(Window.unboundedPreceding, -1)
     streamed = pieces.where("streamed").withColumn("offset", F.coalesce(F.sum("length").over(inside), F.lit(0)).cast("long")).select(*names, "offset")
 
-    # whole windows, numbered task by task
+    # whole windows, numbered task by task; a row for each task is broadcast, so that
+    # the ids of windows are not shuffled
     tasks = tails.groupBy("task").agg(F.sum("windows").alias("n"))
     tasks = tasks.withColumn("_base", F.coalesce(F.sum("n").over(Window.orderBy("task").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("task", "_base")
-    whole = tails.where("windows > 0").join(tasks, "task").select("doc_id", "tokens", "first", "_base", F.posexplode("whole").alias("i", "ids")).select(
+    whole = tails.where("windows > 0").join(F.broadcast(tasks), "task").select("doc_id", "tokens", "first", "_base", F.posexplode("whole").alias("i", "ids")).select(
         "doc_id", (F.col("i") * WINDOW).cast("long").alias("start"), F.lit(WINDOW).cast("long").alias("length"), "ids", F.col("tokens").alias("doc_tokens"),
         (F.lit(base) + F.col("_base") + F.col("first") + F.col("i")).cast("long").alias("sequence_id"), F.lit(0).cast("long").alias("offset"),
     )

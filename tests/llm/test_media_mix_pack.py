@@ -374,3 +374,14 @@ def test_packing_leaves_little_padding(spark):
     sequences = check_packed(docs, packing.pack(docs).collect())
     used = sum(n for s in sequences.values() for _, n in s)
     assert used / (len(sequences) * packing.WINDOW) > 0.97
+
+
+def test_whole_windows_are_not_shuffled(spark):
+    """Even where the optimizer takes nothing for small."""
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = packing.pack(cases.corpus(spark, 20))._jdf.queryExecution().sparkPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
+    assert "BroadcastHashJoin [task#" in plan and "SortMergeJoin [task#" not in plan
