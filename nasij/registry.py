@@ -115,7 +115,7 @@ reach(x, y) AS (SELECT x, y FROM e UNION SELECT reach.x, e.y FROM reach JOIN e O
 SELECT x AS node, least(x, min(y)) AS component FROM reach GROUP BY x"""
 )
 def dup_components(spark, d):
-    return dedup.components(dedup.near_pairs(_docs(spark, d), "doc_id", "text"), "doc_a", "doc_b")
+    return dedup.components(dedup.near_links(_docs(spark, d), "doc_id", "text"), "doc_a", "doc_b")
 
 
 _ONCE = f"(SELECT * FROM {_TURNS} QUALIFY row_number() OVER (PARTITION BY sha256({CANON}) ORDER BY rec) = 1)"
