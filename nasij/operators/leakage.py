@@ -44,7 +44,7 @@ def text_crossing(df: DataFrame, text: str, part: str) -> DataFrame:
 def near_crossing(df: DataFrame, key: str, text: str, part: str, size: int = 5, threshold: float = 0.8, strict: bool = False) -> DataFrame:
     """Near pairs whose partitions differ; pairs of equal sets count as exact
     unless ``strict``."""
-    pairs = near_pairs(df, key, text, size, threshold)
+    pairs = near_pairs(df, key, text, size, threshold, equal=strict)
     p = df.select(F.col(key).alias("k"), F.col(part).alias("p"))
     met = pairs.join(p.select(F.col("k").alias("doc_a"), F.col("p").alias("part_a")), "doc_a").join(p.select(F.col("k").alias("doc_b"), F.col("p").alias("part_b")), "doc_b")
     met = met.where("part_a <> part_b")
